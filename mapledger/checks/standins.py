@@ -34,6 +34,10 @@ class Inputs:
     def maps(self) -> DataFrame:
         return derive_paths(self.registry())
 
+    def known_status(self) -> DataFrame:
+        """Status rows of some of the maps of `repeated_registry`."""
+        return self.status("CASE o_orderstatus WHEN 'P' THEN 'R' ELSE 'A' END")
+
     def repeated_registry(self) -> DataFrame:
         """A map named by several rows, and rows without an id."""
         return self.table("lineitem").selectExpr(
@@ -45,10 +49,18 @@ class Inputs:
             "l_partkey * 10 + l_linenumber AS doc_ord",
         )
 
-    def status(self) -> DataFrame:
+    def audits(self) -> DataFrame:
+        return self.table("customer").selectExpr(
+            "CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS audit_name",
+            "c_name AS server",
+            "concat('registry', c_custkey) AS registry_db",
+            "concat('tracker', c_nationkey) AS tracker_db",
+        )
+
+    def status(self, audit: str = "o_orderpriority") -> DataFrame:
         """Maps known from earlier runs, some of them flagged."""
         return self.table("orders").selectExpr(
-            "concat('Audit ', CASE o_orderstatus WHEN 'P' THEN 'R' ELSE 'A' END) AS audit_name",
+            f"concat('Audit ', {audit}) AS audit_name",
             "CAST(o_orderkey AS STRING) AS map_id",
             r"CASE WHEN o_totalprice >= 10000 THEN concat('Y:\\maps\\c', o_custkey) END AS map_folder",
             "concat('order_', o_orderkey, '.tf.xml') AS map_name",
@@ -415,3 +427,51 @@ class Inputs:
             "o_orderpriority", F.expr("CASE WHEN o_totalprice > 400000 THEN NULL ELSE o_orderpriority END")
         )
         return kept.unionByName(orders.where("o_totalprice < 15000"))
+
+    def swapped_summary(self) -> DataFrame:
+        """Some maps are logged by the audit that follows their own."""
+        return self.table("orders").where("o_totalprice >= 100000").selectExpr(
+            "concat('Audit ', CASE WHEN o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' THEN '3-MEDIUM'"
+            " WHEN o_orderstatus = 'F' AND o_orderpriority = '3-MEDIUM' THEN '1-URGENT' ELSE o_orderpriority END) AS audit_name",
+            r"CASE WHEN o_orderpriority <> '5-LOW' THEN concat('Y:\\maps\\c', o_custkey, '\\order_', o_orderkey, '.map.xml') END AS map_name",
+            "o_orderkey AS run_id",
+        )
+
+    def order_log(self) -> DataFrame:
+        """Load log whose maps are those of the registry; small orders are never loaded."""
+        return self.table("orders").where("o_totalprice >= 120000").selectExpr(
+            "concat('Audit ', o_orderpriority) AS audit_name",
+            r"concat('Y:\\maps\\c', o_custkey, '\\order_', o_orderkey, '.map.xml') AS map_name",
+            "concat('file ', o_orderkey) AS file_name",
+            "o_orderstatus AS sql_server",
+            "concat('db', o_custkey) AS sql_database",
+            "concat('t', o_custkey) AS table_name",
+            "o_orderdate AS load_start",
+        )
+
+    def order_variables(self) -> DataFrame:
+        return self.table("orders").selectExpr(
+            "concat('shared_', o_custkey, '.tf.xml') AS map_name", "o_orderstatus AS variable_name"
+        )
+
+    def order_events(self) -> DataFrame:
+        return self.table("orders").selectExpr(
+            "CASE WHEN o_orderstatus = 'O' THEN 'Audit' ELSE 'Audit x' END AS audit_name",
+            "concat('shared_', o_custkey, '.tf.xml') AS map_name",
+            "o_orderkey AS event_id",
+        )
+
+    def shared_log(self) -> DataFrame:
+        """Log lines of the maps that the packages share."""
+        return self.table("orders").selectExpr(
+            "CASE WHEN o_orderstatus = 'P' THEN 'new' ELSE 'legacy' END AS engine",
+            "o_orderpriority AS data_group",
+            "concat('file ', o_orderkey) AS file_name",
+            r"concat('Y:\\maps\\', o_orderpriority, '\\shared_', o_custkey, '.map.xml') AS map_name",
+            "concat('t', o_custkey) AS table_name",
+            "o_orderstatus AS s_file_name",
+            "o_custkey AS records_read",
+            "o_custkey AS records_written",
+            "o_orderkey AS file_size",
+            "'db' AS sql_database",
+        )
