@@ -406,7 +406,7 @@ STATEMENTS = {
                count(*) AS kept, max(run_id) AS newest_run
         FROM (SELECT audit_name, map_id, event_source, event_name, action_name, parameter_name, parameter_value,
                      max(run_id) AS run_id FROM {event_history} GROUP BY ALL)
-        GROUP BY ALL""".replace("max(run_id) AS run_id FROM", "max(run_id) AS run_id FROM"),
+        GROUP BY ALL""",
     "dedupe_load_summary": _newest("summary_history", "audit_name, map_name", "run_id DESC"),
     "dedupe_headers": _newest("header_history", "audit_name, map_id, map_name", "run_id DESC, doc_ord DESC"),
     "base_name": r"SELECT file_name, map_name, split_part(map_name, '\', -1) AS base_name FROM {legacy_log}",

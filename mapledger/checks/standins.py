@@ -19,6 +19,11 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def _spread(self, name: str) -> DataFrame:
+        """Rows of a table in a few files, dealt out to all cores; many files are dealt out already."""
+        rows, cores = self.table(name), self.spark.sparkContext.defaultParallelism
+        return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+
     # --- registry ---------------------------------------------------------
 
     def registry(self) -> DataFrame:
@@ -78,7 +83,8 @@ class Inputs:
 
     def _order_documents(self, path: str, content: Column) -> DataFrame:
         folder = F.concat(F.lit("Y:\\maps\\c"), "o_custkey", F.lit("\\order_"), "o_orderkey", F.lit(path))
-        return self.table("orders").select(folder.alias("path"), content.alias("content"))
+        # documents are many times larger than the rows they are made of
+        return self._spread("orders").select(folder.alias("path"), content.alias("content"))
 
     def tf_docs(self) -> DataFrame:
         """Two sources for open orders, none for medium priority, a repeated
@@ -187,7 +193,7 @@ class Inputs:
             F.lit('<Map><MapEvents><Event name="text"><Action name="'), "lang", F.lit('">'),
             F.array_join(lines, ""), F.lit("</Action></Event></MapEvents></Map>"),
         )
-        return self.table("documents").select(
+        return self._spread("documents").select(
             F.concat(F.lit("Y:\\texts\\"), "source", F.lit("\\"), "doc_id", F.lit(".map.xml")).alias("path"), content.alias("content")
         )
 

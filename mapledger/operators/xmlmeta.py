@@ -23,6 +23,7 @@ from mapledger.schemas import (
     SOURCE_OPTION_COLUMNS,
     TARGET_EVENT,
     TF_DOCUMENT,
+    TF_FILTER_TAGS,
     TF_FILTERS,
     XML_OPTIONS,
 )
@@ -37,12 +38,22 @@ _MAP_DOCUMENT_ORD = 1 << 32
 
 def parse_tf(docs: DataFrame) -> DataFrame:
     """Add `tf`, the parsed transformation document."""
-    return docs.withColumn("tf", F.from_xml("content", TF_DOCUMENT, XML_OPTIONS))
+    return docs.select("*", _parsed_once(F.from_xml("content", TF_DOCUMENT, XML_OPTIONS)).alias("tf"))
 
 
 def parse_map(docs: DataFrame) -> DataFrame:
     """Add `map`, the parsed mapping document."""
-    return docs.withColumn("map", F.from_xml("content", MAP_DOCUMENT, XML_OPTIONS))
+    return docs.select("*", _parsed_once(F.from_xml("content", MAP_DOCUMENT, XML_OPTIONS)).alias("map"))
+
+
+def _parsed_once(parsed: Column, wanted: Column | None = None) -> Column:
+    """One row for each document, or none where it is not wanted.
+
+    As the output of a generator the document is parsed once. A filter on a
+    plain column would move below it and repeat the parser call.
+    """
+    document = F.array(parsed)
+    return F.explode(document if wanted is None else F.when(wanted, document))
 
 
 def well_formed(parsed: str) -> Column:
@@ -149,7 +160,7 @@ def _data_accesses(tf: str) -> Column:
 def _filter_tags(tf: str) -> Column:
     """Names of the elements below the filter blocks of one document, whatever they are."""
     blocks = _all(_data_accesses(tf), "FilterExpressions")
-    names = F.transform(blocks, lambda block: F.map_keys(F.try_variant_get(block, "$", "MAP<STRING, VARIANT>")))
+    names = F.transform(blocks, F.map_keys)
     names = F.flatten(F.filter(names, lambda found: found.isNotNull()))
     return F.filter(F.array_distinct(names), lambda name: ~F.startswith(name, F.lit("_")))
 
@@ -176,25 +187,25 @@ def _one_filter_tag(content: Column, tags: Column) -> Column:
     return F.array_join(F.transform(pieces, piece), opening)
 
 
-def filter_expressions(parsed: DataFrame) -> DataFrame:
+def filter_expressions(docs: DataFrame) -> DataFrame:
     """Filters of every document that has any: `filters`, an array of (language, text).
 
     Filters of targets are found as well as those of sources, in this order.
     """
-    tagged = parsed.where(F.contains("content", F.lit("FilterExpressions")) & well_formed("tf")).select(
-        *_document_key(parsed), "content", _filter_tags("tf").alias("tags")
-    )
-    reread = tagged.where(F.size("tags") > 0).withColumn(
-        "tf", F.from_xml(_one_filter_tag(F.col("content"), F.col("tags")), TF_FILTERS, XML_OPTIONS)
-    )
+    names = F.from_xml("content", TF_FILTER_TAGS, XML_OPTIONS)
+    some = docs.where(F.contains("content", F.lit("FilterExpressions")))
+    found = some.select(*_document_key(docs), "content", _parsed_once(names).alias("tf"))
+    tagged = found.where(well_formed("tf")).select(*_document_key(docs), "content", _filter_tags("tf").alias("tags"))
+    renamed = F.from_xml(_one_filter_tag(F.col("content"), F.col("tags")), TF_FILTERS, XML_OPTIONS)
+    reread = tagged.select("*", _parsed_once(renamed, F.size("tags") > 0).alias("tf"))
     items = _all(_all(_data_accesses("tf"), "FilterExpressions"), FILTER_TAG)
     stated = F.filter(items, lambda item: item["_language"].isNotNull())
-    return reread.select(*_document_key(parsed), stated.alias("filters")).where(F.size("filters") > 0)
+    return reread.select(*_document_key(docs), stated.alias("filters"))
 
 
 def filter_events(registry: DataFrame, tf_docs: DataFrame, run_id: int = 0) -> DataFrame:
     """One event row for each filter that states its language."""
-    return attach_filters(registry, filter_expressions(parse_tf(tf_docs)), run_id)
+    return attach_filters(registry, filter_expressions(tf_docs), run_id)
 
 
 def attach_filters(registry: DataFrame, filters: DataFrame, run_id: int) -> DataFrame:
@@ -257,8 +268,7 @@ _SECTIONS = {
 def event_parameters(parsed: DataFrame, sections: tuple[str, ...] = tuple(_SECTIONS)) -> DataFrame:
     """`events` of every mapping document: source, target and map level in one pass."""
     rows = F.concat(*[_parameters(_SECTIONS[section](), section) for section in sections])
-    found = parsed.where(well_formed("map")).select(*_document_key(parsed), rows.alias("events"))
-    return found.where(F.size("events") > 0)
+    return parsed.where(well_formed("map")).select(*_document_key(parsed), rows.alias("events"))
 
 
 def document_events(

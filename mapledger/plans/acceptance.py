@@ -11,6 +11,7 @@ from mapledger.functions.text import like_contains, strip_schema
 from mapledger.operators.matching import contains_pairs
 from mapledger.operators.tablediff import compare_rows, compare_structure, comparison_summary, describe_columns
 from mapledger.schemas import LOAD_LINE_COLUMNS, PACKAGE_OVERVIEW_COLUMNS, TF_SUFFIX
+from mapledger.session import stage
 from mapledger.sources.tables import scan_load_log
 
 _CLIENT_COLUMNS = ["tracker_db", "legacy_db", "new_db"]
@@ -164,12 +165,20 @@ def packages_for(requests: DataFrame, packages: DataFrame, match: str = "like")
 
 def package_overview_for(requests: DataFrame, packages: DataFrame, match: str = "like") -> DataFrame:
     """U4 for a table of requests."""
-    return packages_for(requests, packages, match).select("request_id", *PACKAGE_OVERVIEW_COLUMNS)
+    return _overview(packages_for(requests, packages, match))
+
+
+def _overview(found: DataFrame) -> DataFrame:
+    return found.select("request_id", *PACKAGE_OVERVIEW_COLUMNS)
 
 
 def find_package_for(requests: DataFrame, packages: DataFrame, match: str = "like") -> DataFrame:
     """U2 for a table of requests; a request without a package has empty texts and count 0."""
-    picked = _pick_package(packages_for(requests, packages, match), ["request_id"])
+    return _picked(requests, packages_for(requests, packages, match))
+
+
+def _picked(requests: DataFrame, found: DataFrame) -> DataFrame:
+    picked = _pick_package(found, ["request_id"])
     texts = ["pack_id", "legacy_table", "new_table", "data_file"]
     rows = requests.select("request_id").join(picked, "request_id", "left")
     return rows.na.fill("", texts).na.fill(0, ["match_count"])
@@ -189,9 +198,11 @@ def acceptance_report_all(
 ) -> dict[str, DataFrame]:
     """The sections of U12 for a table of requests, tagged with `request_id`.
 
-    Nothing returns to the driver between the sections.
+    The packages of the requests, which five sections read, are written to
+    the shared folder once; nothing returns to the driver in between.
     """
-    package = find_package_for(requests, tables["packages"], match)
+    found = stage(packages_for(requests, tables["packages"], match), "packages")
+    package = _picked(requests, found)
     picked = package.select("request_id", "pack_id")
     flags = picked.join(tables["comparison_flags"], "pack_id")
 
@@ -204,7 +215,7 @@ def acceptance_report_all(
     return {
         "client": clients_for(requests, tables["clients"], match),
         "package": package,
-        "package_overview": package_overview_for(requests, tables["packages"], match),
+        "package_overview": _overview(found),
         "map_variables": by_map.join(tables["map_variables"], "map_name"),
         "comparison_flags": flags,
         "structure_diffs": diffs("structure_diffs", "has_template_difference"),

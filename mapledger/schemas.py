@@ -155,27 +155,30 @@ XML_OPTIONS = {
 _OPTIONS = "ARRAY<STRUCT<Option: ARRAY<STRUCT<_name: STRING, _value: STRING>>>>"
 
 
-def _filters(expressions: str) -> str:
-    return f"ARRAY<STRUCT<FilterExpressions: ARRAY<{expressions}>>>"
-
-
 TF_DOCUMENT = f"""
     TransformationOptions {_OPTIONS},
     TransformationSources ARRAY<STRUCT<TransformationSource: ARRAY<STRUCT<
-        _connectorname: STRING, TransformationSourceOptions: {_OPTIONS},
-        DataAccess: {_filters("VARIANT")}>>>>,
-    TransformationTargets ARRAY<STRUCT<TransformationTarget: ARRAY<STRUCT<
-        _outputmode: STRING, DataAccess: {_filters("VARIANT")}>>>>,
+        _connectorname: STRING, TransformationSourceOptions: {_OPTIONS}>>>>,
+    TransformationTargets ARRAY<STRUCT<TransformationTarget: ARRAY<STRUCT<_outputmode: STRING>>>>,
     _malformed STRING
 """
 
 # The filter children carry any tag; they are read under this one (xmlmeta).
 FILTER_TAG = "FilterItem"
-_FILTER_ITEMS = _filters(f"STRUCT<{FILTER_TAG}: ARRAY<STRUCT<_language: STRING, _text: STRING>>>")
-TF_FILTERS = f"""
-    TransformationSources ARRAY<STRUCT<TransformationSource: ARRAY<STRUCT<DataAccess: {_FILTER_ITEMS}>>>>,
-    TransformationTargets ARRAY<STRUCT<TransformationTarget: ARRAY<STRUCT<DataAccess: {_FILTER_ITEMS}>>>>
-"""
+
+
+def _filters(expressions: str) -> str:
+    access = f"DataAccess: ARRAY<STRUCT<FilterExpressions: ARRAY<{expressions}>>>"
+    return f"""
+        TransformationSources ARRAY<STRUCT<TransformationSource: ARRAY<STRUCT<{access}>>>>,
+        TransformationTargets ARRAY<STRUCT<TransformationTarget: ARRAY<STRUCT<{access}>>>>,
+        _malformed STRING
+    """
+
+
+# a map tells the names of the children, one entry for each name
+TF_FILTER_TAGS = _filters("MAP<STRING, STRING>")
+TF_FILTERS = _filters(f"STRUCT<{FILTER_TAG}: ARRAY<STRUCT<_language: STRING, _text: STRING>>>")
 
 _EVENTS = """ARRAY<STRUCT<Event: ARRAY<STRUCT<_name: STRING, Action: ARRAY<STRUCT<
     _name: STRING, Parameter: ARRAY<STRUCT<_name: STRING, _text: STRING>>>>>>>>"""
