@@ -1,0 +1,30 @@
+"""Join strategy by a checked size, where Spark's own estimate cannot be trusted.
+
+The optimizer sizes a plan by its files. Parsed documents and exploded texts
+are many times larger than the files they come from, so a side is broadcast
+here only after its rows were counted, and merged by sort otherwise: a join
+that spills, and whose hot partitions are split at run time.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of some hundred bytes: tens of megabytes on every executor.
+BROADCAST_ROWS = 200_000
+
+
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a frame has at most so many rows; counting stops beyond them."""
+    return df.limit(rows + 1).count() <= rows
+
+
+def placed(df: DataFrame, small: bool) -> DataFrame:
+    """The side of a join to broadcast if it is small, otherwise to merge by sort."""
+    return F.broadcast(df) if small else merged(df)
+
+
+def merged(df: DataFrame) -> DataFrame:
+    """A side of a join of two large frames, never to be broadcast."""
+    return df.hint("merge")

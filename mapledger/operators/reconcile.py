@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mapledger.functions.text import base_name, diff_flag, key, map_stem
+from mapledger.operators.joins import merged
 from mapledger.schemas import MAP_SUFFIX, PACKAGE_SUFFIX, TABLE_PREFIX
 
 _FLAG_KEY = ["audit_id", "pack_id"]
@@ -39,7 +40,7 @@ def _new_side(log: DataFrame, collation: str | None) -> DataFrame:
 
 def pair_loads(legacy: DataFrame, new: DataFrame, collation: str | None = None) -> DataFrame:
     """Loads of the same file by the same map in both logs; repeated loads multiply."""
-    pairs = _legacy_side(legacy, collation).join(_new_side(new, collation), ["_file", "_stem"])
+    pairs = _legacy_side(legacy, collation).join(merged(_new_side(new, collation)), ["_file", "_stem"])
     return pairs.select(
         "map_name",
         "legacy_map",
@@ -121,7 +122,7 @@ def reconcile_flags(
     old_side = _ranges(_legacy_side(legacy, collation), wanted, "legacy")
     new_side = _ranges(_new_side(new, collation), wanted, "new")
     by_table = (
-        old_side.join(new_side, ["_file", "_stem"])
+        old_side.join(merged(new_side), ["_file", "_stem"])
         .groupBy(*_TABLES)
         .agg(F.max(_differs("read")).alias("_read"), F.max(_differs("written")).alias("_write"))
     )

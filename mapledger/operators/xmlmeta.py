@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mapledger.operators import joins
 from mapledger.operators.history import ord_column
 from mapledger.schemas import (
     EVENT_COLUMNS,
@@ -188,7 +189,7 @@ def _one_filter_tag(content: Column, tags: Column) -> Column:
 
 
 def filter_expressions(docs: DataFrame) -> DataFrame:
-    """Filters of every document that has any: `filters`, an array of (language, text).
+    """Filter elements of every document that has any: `filters`, an array of (language, text).
 
     Filters of targets are found as well as those of sources, in this order.
     """
@@ -199,8 +200,7 @@ def filter_expressions(docs: DataFrame) -> DataFrame:
     renamed = F.from_xml(_one_filter_tag(F.col("content"), F.col("tags")), TF_FILTERS, XML_OPTIONS)
     reread = tagged.select("*", _parsed_once(renamed, F.size("tags") > 0).alias("tf"))
     items = _all(_all(_data_accesses("tf"), "FilterExpressions"), FILTER_TAG)
-    stated = F.filter(items, lambda item: item["_language"].isNotNull())
-    return reread.select(*_document_key(docs), stated.alias("filters"))
+    return reread.select(*_document_key(docs), items.alias("filters"))
 
 
 def filter_events(registry: DataFrame, tf_docs: DataFrame, run_id: int = 0) -> DataFrame:
@@ -210,7 +210,8 @@ def filter_events(registry: DataFrame, tf_docs: DataFrame, run_id: int = 0) -> D
 
 def attach_filters(registry: DataFrame, filters: DataFrame, run_id: int) -> DataFrame:
     joined = _with_documents(registry, filters, "tf_path")
-    rows = joined.select(*MAP_IDENTITY, *_run_columns(run_id), F.posexplode("filters").alias("pos", "item"))
+    stated = F.filter("filters", lambda item: item["_language"].isNotNull())
+    rows = joined.select(*MAP_IDENTITY, *_run_columns(run_id), F.posexplode(stated).alias("pos", "item"))
     source, event, action = (F.lit(name) for name in FILTER_EVENT)
     return rows.select(
         *MAP_IDENTITY,
@@ -266,9 +267,9 @@ _SECTIONS = {
 
 
 def event_parameters(parsed: DataFrame, sections: tuple[str, ...] = tuple(_SECTIONS)) -> DataFrame:
-    """`events` of every mapping document: source, target and map level in one pass."""
-    rows = F.concat(*[_parameters(_SECTIONS[section](), section) for section in sections])
-    return parsed.where(well_formed("map")).select(*_document_key(parsed), rows.alias("events"))
+    """A column of event rows for each section of every mapping document, in one pass."""
+    rows = [_parameters(_SECTIONS[section](), section).alias(section) for section in sections]
+    return parsed.where(well_formed("map")).select(*_document_key(parsed), *rows)
 
 
 def document_events(
@@ -279,7 +280,8 @@ def document_events(
 
 def attach_events(registry: DataFrame, events: DataFrame, run_id: int) -> DataFrame:
     joined = _with_documents(registry, events, "map_path")
-    rows = joined.select(*MAP_IDENTITY, *_run_columns(run_id), F.posexplode("events").alias("pos", "item"))
+    in_order = F.concat(*[section for section in _SECTIONS if section in events.columns])
+    rows = joined.select(*MAP_IDENTITY, *_run_columns(run_id), F.posexplode(in_order).alias("pos", "item"))
     return rows.select(
         *MAP_IDENTITY,
         *[F.col(f"item.{name}").alias(name) for name in EVENT_COLUMNS],
@@ -364,9 +366,9 @@ def _document_key(docs: DataFrame) -> list[str]:
 
 
 def _with_documents(registry: DataFrame, extracted: DataFrame, path: str) -> DataFrame:
-    """Inner join on the path; no side is hinted, its measured size picks the join."""
+    """Inner join on the path. A small registry goes to the documents, which then are not shuffled."""
     maps = registry.select(*MAP_IDENTITY, F.col(path).alias("path"), ord_column(registry).alias("doc_ord"))
-    return maps.join(extracted, _document_key(extracted))
+    return extracted.join(joins.placed(maps, joins.is_small(maps)), _document_key(extracted))
 
 
 def _run_columns(run_id: int) -> list[Column]:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mapledger.functions.text import base_name, like_contains, overlong_values
-from mapledger.operators import matching, tablediff
+from mapledger.operators import joins, tablediff
 from mapledger.operators.matching import contains_pairs
 from mapledger.plans import acceptance
 from mapledger.schemas import TABLES
@@ -39,7 +39,7 @@ def test_containment_join_equals_brute_force(spark, match):
 
 
 def test_containment_join_beyond_the_broadcast_size(spark, monkeypatch):
-    monkeypatch.setattr(matching.broadcast_if_small, "__defaults__", (0,))
+    monkeypatch.setattr(joins.is_small, "__defaults__", (0,))
     left = spark.createDataFrame([(t,) for t in TEXTS], "v STRING")
     right = spark.createDataFrame([(p,) for p in PARTS], "p STRING")
     expected = sorted((v, p) for v in TEXTS for p in PARTS if like(v, p))

@@ -21,7 +21,10 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, connection, name):
-    assert difference(QUERIES[name](spark, TESTDATA), connection, SQL[name]) is None
+    df = QUERIES[name](spark, TESTDATA)
+    assert difference(df, connection, SQL[name]) is None
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
 
 
 def test_entry(spark):

@@ -76,7 +76,7 @@ def filters(spark):
     def run(document):
         docs = spark.createDataFrame([("p", document)], "path STRING, content STRING")
         found = xmlmeta.filter_expressions(docs).collect()
-        return [(item["_language"], item["_text"]) for row in found for item in row.filters]
+        return [(item["_language"], item["_text"]) for row in found for item in row.filters if item["_language"] is not None]
 
     return run
 
@@ -166,7 +166,7 @@ def events(spark):
     def run(document):
         docs = spark.createDataFrame([("p", document)], "path STRING, content STRING")
         found = xmlmeta.event_parameters(xmlmeta.parse_map(docs)).collect()
-        return [tuple(event) for row in found for event in row.events]
+        return [tuple(event) for row in found for section in ("Source", "Target", "Map") for event in row[section]]
 
     return run
 
