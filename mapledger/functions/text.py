@@ -65,6 +65,12 @@ def diff_flag(difference: Column | str) -> Column:
     return F.when(_col(difference) == 0, 0).otherwise(1)
 
 
+def same_text(c: Column | str, text: str) -> Column:
+    """Equality that ignores trailing spaces; the first condition reaches the files."""
+    bare = text.rstrip(" ")
+    return F.startswith(_col(c), F.lit(bare)) & (F.rtrim(_col(c)) == bare)
+
+
 _ESCAPE = "~"
 
 
@@ -73,14 +79,16 @@ def like_contains(c: Column | str, part: Column | str, match: str = "like") -> C
 
     The pattern language has no escape character: the one Spark wants is
     doubled, so that it means itself. A Column part compares row by row.
+    `match` is "like", "ilike" (without case), or "literal" (a plain substring).
     """
     part = F.lit(part) if isinstance(part, str) else part
     if match == "literal":
         return F.contains(_col(c), part)
-    if match != "like":
-        raise ValueError(f"match must be 'like' or 'literal', not {match!r}")
+    if match not in ("like", "ilike"):
+        raise ValueError(f"match must be 'like', 'ilike' or 'literal', not {match!r}")
     pattern = F.concat(F.lit("%"), F.replace(part, F.lit(_ESCAPE), F.lit(_ESCAPE * 2)), F.lit("%"))
-    return F.like(_col(c), pattern, F.lit(_ESCAPE))
+    compare = F.like if match == "like" else F.ilike
+    return compare(_col(c), pattern, F.lit(_ESCAPE))
 
 
 def overlong_values(df: DataFrame, widths: Mapping[str, int]) -> DataFrame:

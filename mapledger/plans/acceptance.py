@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mapledger.functions.text import like_contains, strip_schema
+from mapledger.functions.text import like_contains, same_text, strip_schema
 from mapledger.operators.matching import contains_pairs
 from mapledger.operators.tablediff import compare_rows, compare_structure, comparison_summary, describe_columns
 from mapledger.schemas import LOAD_LINE_COLUMNS, PACKAGE_OVERVIEW_COLUMNS, TF_SUFFIX
@@ -22,13 +22,13 @@ _CLIENT_COLUMNS = ["tracker_db", "legacy_db", "new_db"]
 
 def find_client(clients: DataFrame, audit: str, phase: str, match: str = "like") -> DataFrame:
     """Client rows of an audit and phase."""
-    found = clients.where((F.col("phase") == phase) & like_contains("audit_name", audit, match))
+    found = clients.where(same_text("phase", phase) & like_contains("audit_name", audit, match))
     return found.select("audit_name", "phase", *_CLIENT_COLUMNS)
 
 
 def _matching_packages(packages: DataFrame, audit: str, phase: str, map_name: str, match: str) -> DataFrame:
     return packages.where(
-        (F.col("phase") == phase)
+        same_text("phase", phase)
         & like_contains("audit_name", audit, match)
         & like_contains("legacy_maps", map_name, match)
     )
@@ -61,12 +61,12 @@ def package_overview(packages: DataFrame, audit: str, phase: str, map_name: str,
 
 def map_variables(variables: DataFrame, map_name: str) -> DataFrame:
     """Variables of the map, by its exact name."""
-    return variables.where(F.col("map_name") == map_name)
+    return variables.where(same_text("map_name", map_name))
 
 
 def comparison_flags(flags: DataFrame, pack_id: str) -> DataFrame:
     """Comparison flags of the package."""
-    return flags.where(F.col("pack_id") == pack_id)
+    return flags.where(same_text("pack_id", pack_id))
 
 
 def structure_diffs_if_flagged(flags: DataFrame, diffs: DataFrame, pack_id: str | None = None) -> DataFrame:
@@ -93,7 +93,7 @@ def load_lines(log: DataFrame, engine: str, map_name: str, match: str = "like")
 
 def special_events(events: DataFrame, audit: str, map_name: str) -> DataFrame:
     """Special events of audit and map, both by their exact name."""
-    return events.where((F.col("audit_name") == audit) & (F.col("map_name") == map_name))
+    return events.where(same_text("audit_name", audit) & same_text("map_name", map_name))
 
 
 def acceptance_report(
@@ -146,21 +146,26 @@ def compare_tables(legacy: DataFrame, new: DataFrame) -> dict[str, DataFrame]:
 
 def clients_for(requests: DataFrame, clients: DataFrame, match: str = "like") -> DataFrame:
     """U1 for a table of requests (request_id, audit_name, phase, map_name)."""
-    asked = requests.select("request_id", "phase", F.col("audit_name").alias("pattern"))
+    asked = requests.select("request_id", _bare("phase"), F.col("audit_name").alias("pattern"))
     pairs = contains_pairs(clients, "audit_name", asked, "pattern", match)
-    found = clients.join(pairs.withColumnRenamed("value", "audit_name"), "audit_name")
-    return found.join(asked, ["pattern", "phase"]).select("request_id", "audit_name", "phase", *_CLIENT_COLUMNS)
+    found = clients.select("*", _bare("phase")).join(pairs.withColumnRenamed("value", "audit_name"), "audit_name")
+    return found.join(asked, ["pattern", "_phase"]).select("request_id", "audit_name", "phase", *_CLIENT_COLUMNS)
 
 
 def packages_for(requests: DataFrame, packages: DataFrame, match: str = "like") -> DataFrame:
     """All columns of the packages of each request, the basis of U2, U4 and U6 to U8."""
     asked = requests.select(
-        "request_id", "phase", F.col("audit_name").alias("_audit"), F.col("map_name").alias("pattern")
+        "request_id", _bare("phase"), F.col("audit_name").alias("_audit"), F.col("map_name").alias("pattern")
     )
     pairs = contains_pairs(packages, "legacy_maps", asked, "pattern", match)
-    found = packages.join(pairs.withColumnRenamed("value", "legacy_maps"), "legacy_maps")
-    both = found.join(asked, ["pattern", "phase"])
-    return both.where(like_contains("audit_name", F.col("_audit"), match)).drop("pattern", "_audit")
+    found = packages.select("*", _bare("phase")).join(pairs.withColumnRenamed("value", "legacy_maps"), "legacy_maps")
+    both = found.join(asked, ["pattern", "_phase"])
+    return both.where(like_contains("audit_name", F.col("_audit"), match)).drop("pattern", "_audit", "_phase")
+
+
+def _bare(name: str) -> Column:
+    """Key of an equality that ignores trailing spaces."""
+    return F.rtrim(name).alias(f"_{name}")
 
 
 def package_overview_for(requests: DataFrame, packages: DataFrame, match: str = "like") -> DataFrame:
@@ -210,17 +215,20 @@ def acceptance_report_all(
         flagged = flags.where(F.col(flag) == 1).select("request_id", "pack_id").distinct()
         return flagged.join(tables[name], "pack_id")
 
-    by_map = requests.select("request_id", "map_name")
-    by_audit_and_map = requests.select("request_id", "audit_name", "map_name")
+    def by(name: str, *keys: str) -> DataFrame:
+        asked = requests.select("request_id", *map(_bare, keys))
+        bare = [f"_{k}" for k in keys]
+        return tables[name].select("*", *map(_bare, keys)).join(asked, bare).drop(*bare)
+
     return {
         "client": clients_for(requests, tables["clients"], match),
         "package": package,
         "package_overview": _overview(found),
-        "map_variables": by_map.join(tables["map_variables"], "map_name"),
+        "map_variables": by("map_variables", "map_name"),
         "comparison_flags": flags,
         "structure_diffs": diffs("structure_diffs", "has_template_difference"),
         "data_diffs": diffs("data_diffs", "has_data_difference"),
         "load_lines_legacy": load_lines_for(requests, tables["load_log"], "legacy", match),
         "load_lines_new": load_lines_for(requests, tables["load_log"], "new", match),
-        "special_events": by_audit_and_map.join(tables["special_events"], ["audit_name", "map_name"]),
+        "special_events": by("special_events", "audit_name", "map_name"),
     }

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from mapledger.functions.text import base_name, like_contains, overlong_values
+from mapledger.functions.text import base_name, like_contains, overlong_values, same_text
 from mapledger.operators import joins, tablediff
 from mapledger.operators.matching import contains_pairs
 from mapledger.plans import acceptance
@@ -26,14 +26,18 @@ TEXTS = ["order_1.tf.xml", "order_12.tf.xml", "order-1~x", "Y:\\maps\\a_b\\c.map
 PARTS = ["order_1", "1", "_", "%", "", "~", "\\maps\\", "a_b", "aaa", "0% x", "order_1.tf.xml", "a\nb", "t%x", "é_é", "[x]", "no", "______________"]
 
 
-@pytest.mark.parametrize("match", ["like", "literal"])
+@pytest.mark.parametrize("match", ["like", "ilike", "literal"])
 def test_containment_join_equals_brute_force(spark, match):
     rng = random.Random(3)
-    values = TEXTS + ["".join(rng.choices("ab_%~.x", k=rng.randint(0, 12))) for _ in range(60)]
-    parts = PARTS + ["".join(rng.choices("ab_%~.x", k=rng.randint(0, 8))) for _ in range(60)]
+    values = TEXTS + ["".join(rng.choices("aAb_%~.x", k=rng.randint(0, 12))) for _ in range(60)]
+    parts = PARTS + ["".join(rng.choices("aAb_%~.x", k=rng.randint(0, 8))) for _ in range(60)]
     left = spark.createDataFrame([(v,) for v in values + [None, "a"]], "v STRING")
     right = spark.createDataFrame([(p,) for p in parts + [None, "a"]], "p STRING")
-    holds = like if match == "like" else (lambda value, part: part in value)
+    holds = {
+        "like": like,
+        "ilike": lambda value, part: like(value.lower(), part.lower()),
+        "literal": lambda value, part: part in value,
+    }[match]
     expected = sorted((v, p) for v in set(values) for p in set(parts) if holds(v, p))
     assert sorted(map(tuple, contains_pairs(left, "v", right, "p", match).collect())) == expected
 
@@ -52,6 +56,12 @@ def test_like_with_a_constant(spark, part):
     assert sorted(r.v for r in df.where(like_contains("v", part)).collect()) == sorted(t for t in TEXTS if like(t, part))
 
 
+def test_equality_ignores_trailing_spaces(spark):
+    df = spark.createDataFrame([("5",), ("5 ",), (" 5",), ("55",), (None,)], "v STRING")
+    for argument in ("5", "5  "):
+        assert [r.v for r in df.where(same_text("v", argument)).collect()] == ["5", "5 "]
+
+
 def test_base_name_without_backslash(spark):
     df = spark.createDataFrame([("a\\b\\c.x",), ("plain",), ("end\\",), (None,)], "v STRING")
     assert [r[0] for r in df.select(base_name("v")).collect()] == ["c.x", "plain", "", None]
@@ -71,7 +81,7 @@ def tables(spark):
     ]
     log = "engine STRING, data_group STRING, file_name STRING, map_name STRING, table_name STRING, s_file_name STRING, records_read BIGINT, records_written BIGINT, file_size BIGINT, sql_database STRING"
     return {
-        "clients": spark.createDataFrame([("client mx", "5", "t", "l", "n"), ("client mx", "6", "t", "l", "n")], TABLES["clients"]),
+        "clients": spark.createDataFrame([("client mx", "5", "t", "l", "n"), ("client mx", "6 ", "t", "l", "n")], TABLES["clients"]),
         "packages": spark.createDataFrame(packages, TABLES["packages"]),
         "map_variables": spark.createDataFrame([("b_x.tf.xml", "v"), ("bax.tf.xml", "w")], "map_name STRING, name STRING"),
         "comparison_flags": spark.createDataFrame([("a", "2", 0, 1, 0, 0), ("a", "1", 1, 0, 0, 0)], TABLES["comparison_flags"]),
@@ -101,7 +111,7 @@ def test_report_of_one_map(spark, tables):
 
 
 def test_report_of_many_maps_equals_report_of_each(spark, tables):
-    asked = [("r1", "mx", "5", "b_x.tf.xml"), ("r2", "client", "5", "x.tf.xml"), ("r3", "", "6", "c.tf.xml"), ("r4", "other", "5", "c.tf.xml")]
+    asked = [("r1", "mx", "5", "b_x.tf.xml"), ("r2", "client", "5", "x.tf.xml"), ("r3", "", "6", "c.tf.xml"), ("r4", "other", "5 ", "c.tf.xml ")]
     requests = spark.createDataFrame(asked, "request_id STRING, audit_name STRING, phase STRING, map_name STRING")
     many = acceptance.acceptance_report_all(tables, requests)
     for request_id, audit, phase, map_name in asked:

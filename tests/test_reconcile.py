@@ -19,6 +19,13 @@ def test_pairs(spark, rows):
     ]
 
 
+def test_pairs_with_collation(spark):
+    legacy = spark.createDataFrame([("F ", "d\\M.map.xml", "T", 1, 1)], LOG)
+    new = spark.createDataFrame([("f", "d\\m.dtsx", "N", 1, 1)], LOG)
+    assert reconcile.pair_loads(legacy, new).count() == 0
+    assert reconcile.pair_loads(legacy, new, collation="UTF8_LCASE_RTRIM").count() == 1
+
+
 def test_flags_without_pairs_equal_flags_from_pairs(spark, rows):
     rng = random.Random(7)
 
