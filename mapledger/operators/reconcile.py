@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mapledger.functions.text import base_name, diff_flag, key, map_stem
-from mapledger.operators.joins import merged
+from mapledger.operators.joins import is_small, merged, placed
 from mapledger.schemas import MAP_SUFFIX, PACKAGE_SUFFIX, TABLE_PREFIX
 
 _FLAG_KEY = ["audit_id", "pack_id"]
@@ -67,7 +67,7 @@ def count_diffs(pairs: DataFrame) -> DataFrame:
 def attach_packages(pairs: DataFrame, packages: DataFrame, audit: str | None = None) -> DataFrame:
     """Add the package that loads both tables, of one audit or of all."""
     scoped = _scoped(packages, audit).select(*_FLAG_KEY, "audit_name", *_TABLES)
-    return pairs.join(scoped, _TABLES).select(*_FLAG_KEY, "audit_name", *pairs.columns)
+    return pairs.join(placed(scoped, is_small(scoped)), _TABLES).select(*_FLAG_KEY, "audit_name", *pairs.columns)
 
 
 def _scoped(packages: DataFrame, audit: str | None) -> DataFrame:
@@ -119,20 +119,26 @@ def reconcile_flags(
     engines joins one row to one row.
     """
     wanted = _scoped(packages, audit).select(*_FLAG_KEY, *_TABLES)
-    old_side = _ranges(_legacy_side(legacy, collation), wanted, "legacy")
-    new_side = _ranges(_new_side(new, collation), wanted, "new")
+    small = is_small(wanted)
+    old_side, new_side = _legacy_side(legacy, collation), _new_side(new, collation)
+    if small:
+        # only loads of the packages' tables matter; dropping the others here
+        # saves the exchanges, but is not worth one itself
+        old_side = old_side.join(F.broadcast(wanted.select("legacy_table")), "legacy_table", "left_semi")
+        new_side = new_side.join(F.broadcast(wanted.select("new_table")), "new_table", "left_semi")
+    old_side, new_side = _ranges(old_side, "legacy"), _ranges(new_side, "new")
     by_table = (
         old_side.join(merged(new_side), ["_file", "_stem"])
         .groupBy(*_TABLES)
         .agg(F.max(_differs("read")).alias("_read"), F.max(_differs("written")).alias("_write"))
     )
-    by_package = wanted.join(by_table, _TABLES).groupBy(*_FLAG_KEY).agg(
+    by_package = by_table.join(placed(wanted, small), _TABLES).groupBy(*_FLAG_KEY).agg(
         F.max("_read").alias("_read"), F.max("_write").alias("_write")
     )
     return _apply(flags, by_package)
 
 
-def _ranges(side: DataFrame, wanted: DataFrame, engine: str) -> DataFrame:
+def _ranges(side: DataFrame, engine: str) -> DataFrame:
     table = f"{engine}_table"
     aggregates = [F.count(F.lit(1)).alias(f"{engine}_n")]
     for count in ("read", "written"):
@@ -143,7 +149,6 @@ def _ranges(side: DataFrame, wanted: DataFrame, engine: str) -> DataFrame:
             F.count(column).alias(f"{column}_n"),
         ]
     known = side.where(F.col("_file").isNotNull() & F.col("_stem").isNotNull())
-    known = known.join(wanted.select(table), table, "left_semi")
     return known.groupBy("_file", "_stem", table).agg(*aggregates)
 
 

@@ -16,8 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # a full shuffle of a large table is coalesced down from this number
-    "spark.sql.files.maxPartitionBytes": str(128 << 20),
+    # rows take several times the space of their columnar files; without this
+    # the optimizer broadcasts tables that only look small
+    "spark.sql.sources.fileCompressionFactor": "4.0",
 }
 
 

@@ -63,3 +63,16 @@ def test_hot_file_does_not_multiply(spark):
     flags = spark.createDataFrame([("a", "1", 0, 0, 0, 1)], FLAGS)
     found = reconcile.reconcile_flags(flags, legacy, new, packages).first()
     assert (found.has_read_difference, found.has_write_difference) == (1, 0)
+
+
+def test_packages_too_many_to_broadcast(spark, rows, monkeypatch):
+    legacy = spark.createDataFrame([("f", "d\\m.map.xml", "T", 5, 1), ("g", "d\\m.map.xml", "T", 1, 1)], LOG)
+    new = spark.createDataFrame([("f", "d\\m.dtsx", "N", 3, 1), ("g", "d\\m.dtsx", "M", 1, None)], LOG)
+    packages = spark.createDataFrame([("a", "1", "X", "dbo.T", "N"), ("a", "2", "X", "dbo.T", "M")], PACKAGES)
+    flags = spark.createDataFrame([("a", "1", 0, 0, 7, 8), ("a", "2", 0, 0, 7, 8)], FLAGS)
+    expected = [("a", "1", 0, 0, 1, 0), ("a", "2", 0, 0, 0, 1)]
+    assert rows(reconcile.reconcile_flags(flags, legacy, new, packages)) == expected
+    monkeypatch.setattr(reconcile, "is_small", lambda df: False)
+    merged = reconcile.reconcile_flags(flags, legacy, new, packages)
+    assert rows(merged) == expected
+    assert rows(reconcile.update_flags(flags, reconcile.reconcile(legacy, new, packages))) == expected

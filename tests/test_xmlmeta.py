@@ -4,44 +4,43 @@ import pytest
 from pyspark.sql import functions as F
 
 from mapledger.functions.text import derive_paths
-from mapledger.operators import xmlmeta
+from mapledger.operators import joins, xmlmeta
 
 SAMPLE = """<?xml version="1.0" encoding="UTF-8" ?>
-<!--== a delimited text file into a table ==-->
-<Transformation schemaVersion = "1.2" creator = "someone" partial = "no">
+<!-- a text file into a table -->
+<Transformation version = "1" creator = "someone">
   <LogManager loglocation = "\\\\files.example\\logs\\a.log"/>
   <TransformationOptions>
-    <Option name = "truncationhandling" value = "2"/>
-    <Option name = "overflowhandling" value = "2"/>
-    <Option name = "maxerrorcount" value = "1"/>
+    <Option name = "overflowhandling" value = "3"/>
+    <Option name = "truncationhandling" value = "1"/>
+    <Option name = "unrelated" value = "x"/>
   </TransformationOptions>
   <TransformationSources>
-    <TransformationSource name = "Source1" connectorname = "ASCII (Delimited)">
+    <TransformationSource name = "in" connectorname = "Text (Lines)">
       <TransformationSourceOptions>
-        <Option name = "codepage" value = "ANSI"/>
-        <Option name = "recsep" value = "LF"/>
-        <Option name = "fldsep" value = "~"/>
-        <Option name = "fldsdelim" value = "None"/>
-        <Option name = "fldedelim" value = "None"/>
-        <Option name = "header" value = "False"/>
-        <Option name = "soffset" value = "0"/>
-        <Option name = "layoutmismatch" value = "0"/>
+        <Option name = "fldsep" value = "|"/>
+        <Option name = "header" value = "True"/>
+        <Option name = "codepage" value = "UTF-8"/>
+        <Option name = "fldedelim" value = "&quot;"/>
+        <Option name = "recsep" value = "CRLF"/>
+        <Option name = "fldsdelim" value = "&quot;"/>
+        <Option name = "layoutmismatch" value = "1"/>
+        <Option name = "soffset" value = "3"/>
       </TransformationSourceOptions>
       <DataAccess>
-        <ConnectionInfo><ConnectionDetail location = "x"><UExtra><![CDATA[0@@]]></UExtra></ConnectionDetail></ConnectionInfo>
+        <ConnectionInfo><ConnectionDetail location = "x"><Extra><![CDATA[7<&>]]></Extra></ConnectionDetail></ConnectionInfo>
         <DataAccessOptions><Option name = "codepage" value = "not this"/></DataAccessOptions>
       </DataAccess>
     </TransformationSource>
   </TransformationSources>
   <TransformationTargets>
-    <TransformationTarget name = "Target1" connectorname = "A Database" outputmode = "Replace">
+    <TransformationTarget name = "out" connectorname = "A Database" outputmode = "Append">
       <TransformationTargetOptions>
-        <Option name = "constraintddl"/>
+        <Option name = "novalue"/>
         <Option name = "layoutmismatch" value = "7"/>
       </TransformationTargetOptions>
     </TransformationTarget>
   </TransformationTargets>
-  <TransformationMap mapname = "a.map.xml"/>
 </Transformation>"""
 
 
@@ -84,18 +83,18 @@ def filters(spark):
 def test_sample_header(headers):
     assert headers(SAMPLE) == [
         {
-            "connector_type": "ASCII (Delimited)",
-            "code_page": "ANSI",
-            "record_separator": "LF",
-            "field_separator": "~",
-            "field_start_delimiter": "None",
-            "field_end_delimiter": "None",
-            "header": "False",
-            "start_offset": "0",
-            "truncation_handling": "2",
-            "overflow_handling": "2",
-            "layout_mismatch": "0",
-            "output_mode": "Replace",
+            "connector_type": "Text (Lines)",
+            "code_page": "UTF-8",
+            "record_separator": "CRLF",
+            "field_separator": "|",
+            "field_start_delimiter": '"',
+            "field_end_delimiter": '"',
+            "header": "True",
+            "start_offset": "3",
+            "truncation_handling": "1",
+            "overflow_handling": "3",
+            "layout_mismatch": "1",
+            "output_mode": "Append",
         }
     ]
 
@@ -234,3 +233,21 @@ def test_one_parser_call_for_each_document(spark):
     assert calls(xmlmeta.event_parameters(xmlmeta.parse_map(docs))) == 1
     assert calls(xmlmeta.filter_expressions(docs)) == 2
     assert calls(xmlmeta.source_fields(docs).where(F.col("field_name") == "a")) == 1
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_registry_of_any_size(spark, rows, monkeypatch, small):
+    monkeypatch.setattr(joins, "is_small", lambda df: small)
+    registry = derive_paths(
+        spark.createDataFrame(
+            [("A", "1", "d", "a.tf.xml"), ("B", "2", "d", "a.tf.xml"), ("B", "3", "d", "b.tf.xml"), ("B", None, None, "c")],
+            "audit_name STRING, map_id STRING, map_folder STRING, map_name STRING",
+        )
+    )
+    tf_docs = spark.createDataFrame([("d\\a.tf.xml", tf(source(filters='<F language="l">x</F>')))], "path STRING, content STRING")
+    headers = xmlmeta.map_headers(registry, tf_docs)
+    assert rows(headers.select("audit_name", "map_id", "connector_type")) == [("A", "1", "c"), ("B", "2", "c")]
+    events = xmlmeta.filter_events(registry, tf_docs)
+    assert rows(events.select("map_id", "parameter_name", "parameter_value")) == [("1", "l", "x"), ("2", "l", "x")]
+    plan = headers._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" if small else "SortMergeJoin") in plan
