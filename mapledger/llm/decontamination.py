@@ -18,9 +18,9 @@ SIMILARITY = 0.8
 RADIUS = 19
 BLOCKS = 5
 
-# Distinct item shingles that are sent to every executor, 16 bytes each; a larger
-# benchmark is joined by sorting instead.
-BROADCAST_SHINGLES = 2_000_000
+# Rows of two numbers that are sent to every executor: distinct item shingles, keys
+# of documents with a leak. More of them are joined by sorting instead.
+BROADCAST_ROWS = 2_000_000
 
 
 def _words(text: str) -> Column:
@@ -71,10 +71,11 @@ def _item_keys(items: DataFrame, radius: int, blocks: int) -> DataFrame:
     """
     share, parts = radius // blocks, []
     for i, (first, bits) in enumerate(_block_bits(blocks)):
-        masks = [mask for mask in range(1 << bits) if mask.bit_count() <= share]
-        near = F.transform(F.lit(masks).cast("array<bigint>"), lambda mask: mask.bitwiseXOR(_block("fp", first, bits)))
+        masks = F.filter(F.sequence(F.lit(0), F.lit((1 << bits) - 1)), lambda mask: F.bit_count(mask) <= share)
+        near = F.transform(masks, lambda mask: mask.cast("bigint").bitwiseXOR(F.col(f"_block{i}")))
         parts.append(F.transform(near, lambda value: F.struct(F.lit(i).alias("block"), value.alias("value"))))
-    keyed = items.select("item_id", F.col("m").alias("item_m"), F.col("fp").alias("item_fp"), "item_shingles", F.explode(F.concat(*parts)).alias("key"))
+    blocked = items.select("*", *[_block("fp", *b).alias(f"_block{i}") for i, b in enumerate(_block_bits(blocks))])
+    keyed = blocked.select("item_id", F.col("m").alias("item_m"), F.col("fp").alias("item_fp"), "item_shingles", F.explode(F.concat(*parts)).alias("key"))
     return keyed.select("*", "key.*").drop("key")
 
 
@@ -136,7 +137,7 @@ def _leaks_of_width(
     own = items.select("item_id", _shingles("words", width).alias("item_shingles"))
     own = stage(own.withColumn("m", F.size("item_shingles")).withColumn("fp", _fingerprint("item_shingles")), "items")
     sizes = stage(own.select(F.explode("item_shingles").alias("h"), "m").distinct(), "item-shingles")
-    sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_SHINGLES else sizes.hint("merge")
+    sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_ROWS else sizes.hint("merge")
     # as the output of a generator the words are cut once
     cut = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(F.array(_words("text"))).alias("words"))
     cut = cut.where(F.size("words") >= width).withColumn("n", F.size("words") - (width - 1))
@@ -192,6 +193,8 @@ def without_leaks(documents: DataFrame, benchmark: DataFrame, **settings: float)
     """The documents that hold no benchmark passage, all their columns; rows with null ids included."""
     leaks = find_leaks(documents, benchmark, **settings).select(
         F.col("doc_id").alias("_leak_id"), F.col("text_hash").alias("_leak_hash")
-    ).distinct()
+    )
+    leaks = stage(leaks.distinct(), "leaks")
     same = F.xxhash64(documents["text"]).eqNullSafe(F.col("_leak_hash")) & documents["doc_id"].eqNullSafe(F.col("_leak_id"))
-    return documents.join(leaks, same, "left_anti")
+    few = leaks.count() <= BROADCAST_ROWS
+    return documents.join(F.broadcast(leaks) if few else leaks.hint("merge"), same, "left_anti")

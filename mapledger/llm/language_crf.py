@@ -85,7 +85,13 @@ class Field:
         return summed(owner, self.weights[bucket], len(words))
 
     def marginals(self, emissions: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Probability of each label for each word of several texts, by forward-backward.
+        """Probability of each label for each word of several texts, by forward-backward."""
+        forward, backward, _ = self.messages(emissions, lengths)
+        both = forward * backward
+        return both / both.sum(axis=1, keepdims=True)
+
+    def messages(self, emissions: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Forward and backward vectors of each word, each scaled, and its emission potentials.
 
         Texts are cut into chunks, and what a chunk does to the forward
         vector is one matrix: so all chunks of all texts advance together,
@@ -134,10 +140,12 @@ class Field:
             backward[t] = vector
             moved = (grid[t] * vector) @ move.T
             vector = np.where(live, moved / moved.max(axis=1, keepdims=True), vector)
-        result = np.empty((len(emissions), n_labels))
-        both = (forward * backward)[valid]
-        result[place[valid]] = both / both.sum(axis=1, keepdims=True)
-        return result
+        result = []
+        for grid_vectors in (forward, backward):
+            flat = np.empty((len(emissions), n_labels))
+            flat[place[valid]] = grid_vectors[valid]
+            result.append(flat)
+        return result[0], result[1], seen
 
 
 def fit(samples: list[tuple[str, str]], seed: int = 1, rounds: int = 6, rate: float = 0.5, decay: float = 1e-6) -> Field:
@@ -170,32 +178,30 @@ def fit(samples: list[tuple[str, str]], seed: int = 1, rounds: int = 6, rate: fl
             lengths = np.add.reduceat([len(s) for _, s in batch], np.arange(0, len(batch), 3))
             owner, bucket = features(words, lexicon)
             emissions = summed(owner, field.weights[bucket], len(words))
-            found = field.marginals(emissions, lengths)
-            missing = -found
+            forward, backward, seen = field.messages(emissions, lengths)
+            missing = -(forward * backward)
+            missing /= -missing.sum(axis=1, keepdims=True)
             missing[np.arange(len(words)), truth] += 1
             touched, where = np.unique(bucket, return_inverse=True)
             slope = summed(where, missing[owner], len(touched)) / len(batch) - decay * field.weights[touched]
             squares[touched] += slope * slope
             field.weights[touched] += rate * slope / np.sqrt(squares[touched])
-            # pairs within a sequence; the expected ones from neighbouring marginals
+            # pairs within a sequence
             pair = np.ones(len(words), bool)
             pair[np.cumsum(lengths) - 1] = False
             here = np.flatnonzero(pair)
             change = np.zeros_like(field.transitions)
             np.add.at(change, (truth[here], truth[here + 1]), 1)
-            change -= _expected_pairs(field, emissions, found, here)
+            change -= _expected_pairs(field.transitions, forward[here], (seen * backward)[here + 1])
             change /= len(batch)
             moves += change * change
             field.transitions += 0.1 * change / np.sqrt(moves)
     return field
 
 
-def _expected_pairs(field: Field, emissions: np.ndarray, found: np.ndarray, here: np.ndarray) -> np.ndarray:
-    """Expected transitions, each pair of neighbours by its own potentials and marginals."""
-    move = np.exp(field.transitions)
-    seen = np.exp(emissions - emissions.max(axis=1, keepdims=True))
-    joint = found[here][:, :, None] * move[None] * (found[here + 1] / np.maximum(1e-12, found[here] @ move))[:, None, :]
-    del seen
+def _expected_pairs(transitions: np.ndarray, forward: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Expected transitions between neighbours, from the forward vector of one and what follows from the other."""
+    joint = forward[:, :, None] * np.exp(transitions)[None] * after[:, None, :]
     return (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
 
 
@@ -299,6 +305,30 @@ def label_documents(documents: DataFrame, field: Field | None, extra: list[str]
     return documents.select(*columns).mapInArrow(labelled, f"{schema}, lang_pred STRING, score DOUBLE")
 
 
+def _learned(documents: DataFrame, parts: int, held_out: int, per_language: int) -> tuple[DataFrame, Field | None]:
+    rows = documents.select("doc_id", "text", "lang").withColumn(
+        "held_out", F.coalesce(training_remainder(F.col("doc_id"), parts) == held_out, F.lit(False))
+    )
+    sample = labelled_sample(rows.where(~F.col("held_out")), per_language)
+    return rows, fit(sample) if sample else None
+
+
+def with_language(
+    documents: DataFrame, parts: int = 4, held_out: int = 2, per_language: int = SAMPLE_TEXTS
+) -> DataFrame:
+    """The rows whose text gets a language, all their columns; null texts and texts without a letter go."""
+    _, field = _learned(documents, parts, held_out, per_language)
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labeller = Labeller(field) if field else None
+        for batch in slices(batches, "text"):
+            if labeller:
+                names, _ = labeller.label(texts(batch, "text"))
+                yield batch.filter(pa.array([name != UNKNOWN for name in names], pa.bool_()))
+
+    return documents.mapInArrow(chosen, documents.schema)
+
+
 def identify_languages(
     documents: DataFrame, parts: int = 4, held_out: int = 2, per_language: int = SAMPLE_TEXTS
 ) -> DataFrame:
@@ -310,9 +340,5 @@ def identify_languages(
     labelled alike, rows with null texts are `und`, an empty table gives no
     rows, further columns are ignored.
     """
-    rows = documents.select("doc_id", "text", "lang").withColumn(
-        "held_out", F.coalesce(training_remainder(F.col("doc_id"), parts) == held_out, F.lit(False))
-    )
-    sample = labelled_sample(rows.where(~F.col("held_out")), per_language)
-    field = fit(sample) if sample else None
+    rows, field = _learned(documents, parts, held_out, per_language)
     return label_documents(rows.select("doc_id", "text", "held_out"), field, ["held_out"])

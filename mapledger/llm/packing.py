@@ -123,16 +123,14 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     bins, offsets = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
     made = 0
     for i, size in enumerate(lengths.tolist()):
-        # half the change of the sum when gap g becomes g - size: n[g - size] - n[g] + 1
-        rest = n[: capacity - size + 1].copy()
-        rest[0] = -1  # a closed bin leaves the sum: no term after the change
-        change = rest - n[size:] + 1
+        # the change of the sum when gap g becomes g - size; a closed bin adds no term
+        change = 2 * (n[: capacity - size + 1] - n[size:] + 1)
+        change[0] = 1 - 2 * n[size]
         change[n[size:] == 0] = capacity << 32
         best = int(np.argmin(change))
         gap = best + size
-        new = n[capacity - size] if size < capacity else -1
-        # a new bin adds 2 n[rest] + 1, an old one 2 (n[rest] - n[gap] + 1)
-        if n[gap] and 2 * change[best] <= 2 * new + 1:
+        new = 2 * n[capacity - size] + 1 if size < capacity else 0
+        if n[gap] and change[best] <= new:
             chosen = open_bins[gap].pop()
             n[gap] -= 1
         else:

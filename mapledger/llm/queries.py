@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from mapledger.llm import (
     chat,
     decontamination,
+    html_density,
     language_crf,
     licenses,
     minhash,
     packing,
+    ppm,
     token_counts,
     vector_links,
 )
@@ -39,6 +41,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page."""
+    return html_density.extract_pages(_table(spark, sf_dir, "pages"))
+
+
+def op2_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a byte model, and by single tokens, of the training documents."""
+    return ppm.score_documents(_table(spark, sf_dir, "documents"), parts=7, held_out=2)
+
+
 def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
