@@ -20,13 +20,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     side, which adaptive execution splits.
     """
     current = stage(_downward(edges.select("u", "v")), "edges")
-    before = _mark(current)
-    while before[0]:
+    while not _is_star_forest(current):
         current = stage(_small_star(_large_star(current)), "edges")
-        after = _mark(current)
-        if after == before:
-            break
-        before = after
     return current.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
@@ -49,5 +44,10 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return hung.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Whether every node hangs on one other only, and that one on none."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).union(
+        edges.select("v", F.lit(0), F.lit(1))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return nodes.where((F.col("hangs") > 1) | ((F.col("hangs") > 0) & (F.col("holds") > 0))).isEmpty()

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from mapledger.llm.batches import slices
 from mapledger.llm.components import connected_components
@@ -19,8 +20,11 @@ WIDTH = 5
 # at 0.85 all but one in four million, at 0.8 all but one in ten thousand.
 BANDS, ROWS = 32, 6
 SKETCH_WORDS = 16  # odd sketch of 1,024 bits
-# a candidate's estimate may lie so many standard errors below the threshold
-SLACK = 4.5
+# a candidate's estimate may lie so many standard errors below the threshold: one
+# link in ten thousand at the very threshold is missed
+SLACK = 3.72
+# nearest candidates of a text that are confirmed before all others
+NEAREST = 4
 
 _REMEMBERED = 500_000
 _SIGNATURES = (
@@ -139,36 +143,68 @@ def _flipped(a: str, b: str, sketch_words: int) -> Column:
 def flip_bound(similarity: float, samples: int, bits: int, slack: float = SLACK) -> int:
     """Most bits in which the sketches of a pair of that similarity differ, up to `slack` standard errors.
 
-    Of `samples` MinHash values about samples * (1 - similarity) differ, each
-    of which flips a bit in either sketch; m flips leave
-    bits / 2 * (1 - (1 - 2 / bits)^m) bits set.
+    About samples * (1 - similarity) MinHash values differ. Each of them flips
+    a bit in either sketch, and m flips leave bits / 2 * (1 - (1 - 2 / bits)^m)
+    bits set; flips that meet add to the spread.
     """
-    differ = samples * (1 - similarity)
-    most = min(samples, differ + slack * np.sqrt(samples * similarity * (1 - similarity)))
-    odd = bits / 2 * (1 - (1 - 2 / bits) ** (2 * most))
-    return int(np.ceil(odd + slack * np.sqrt(odd / 2)))
+    flips = 2 * samples * (1 - similarity)
+    kept = (1 - 2 / bits) ** flips
+    spread = 4 * samples * similarity * (1 - similarity) * kept**2 + 2 * flips**2 / bits
+    return int(np.ceil(bits / 2 * (1 - kept) + slack * np.sqrt(spread)))
 
 
-def _cross_pairs(members: DataFrame, limit: int, sketch_words: int) -> DataFrame:
-    """Pairs of one bucket that lie in different components and whose sketches are near.
-
-    Most members of a large bucket are in one component by now; only the
-    others are compared, with all members, so the work is (others x bucket).
-    """
+def _open_members(buckets: DataFrame, linked: DataFrame, distinct: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, with the largest one of the bucket."""
+    members = buckets.select("band", "i", "node").join(linked, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
+    )
     sizes = members.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("band").agg(
         F.max_by("component", F.struct("n", "component")).alias("largest"), F.count(F.lit(1)).alias("kinds")
     )
-    open_buckets = members.join(largest.where(F.col("kinds") > 1), "band")
-    others = open_buckets.where(F.col("component") != F.col("largest")).select(
-        "band", F.col("node").alias("a"), F.col("component").alias("a_component"), F.col("sketch").alias("a_sketch")
+    return members.join(largest.where(F.col("kinds") > 1).drop("kinds"), "band").join(distinct, "node")
+
+
+def _side(members: DataFrame, prefix: str) -> DataFrame:
+    names = ["node", "component", "sketch", "bands"]
+    return members.select("band", "i", "largest", *[F.col(name).alias(prefix + name) for name in names])
+
+
+def _is_first_shared_band() -> Column:
+    """Whether a pair that meets in several buckets meets here first, so that it is told once."""
+    same = F.zip_with("a_bands", "b_bands", lambda a, b: a == b)
+    return F.array_position(same, F.lit(True)) == F.col("i") + 1
+
+
+def _nearest_pairs(members: DataFrame, limit: int, sketch_words: int) -> DataFrame:
+    """Pairs of different components that look like links, a few for each node."""
+    a, b = _side(members, "a_"), _side(members, "b_").drop("i", "largest")
+    flips = _flipped("a_sketch", "b_sketch", sketch_words)
+    pairs = a.join(b, "band").where(
+        (F.col("a_node") < F.col("b_node")) & (F.col("a_component") != F.col("b_component")) & (flips <= limit) & _is_first_shared_band()
     )
-    pairs = others.join(open_buckets, "band").where(
-        (F.col("a_component") != F.col("component"))
-        & ((F.col("component") == F.col("largest")) | (F.col("a") < F.col("node")))
-        & (_flipped("a_sketch", "sketch", sketch_words) <= limit)
+    pairs = pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), flips.alias("flips"))
+    rank = F.row_number().over(Window.partitionBy("a").orderBy("flips", "b"))
+    return pairs.withColumn("rank", rank).where(F.col("rank") <= NEAREST).select("a", "b")
+
+
+def _remaining_pairs(members: DataFrame, limit: int, sketch_words: int) -> DataFrame:
+    """All pairs of different components whose sketches don't rule a link out.
+
+    By now most members of a large bucket are in one component; only the
+    others are compared, with all members: the work is (others x bucket).
+    """
+    others = _side(members.where(F.col("component") != F.col("largest")), "a_")
+    b = _side(members, "b_").drop("i", "largest")
+    pairs = others.join(b, "band").where(
+        (F.col("a_component") != F.col("b_component"))
+        & ((F.col("b_component") == F.col("largest")) | (F.col("a_node") < F.col("b_node")))
+        & (_flipped("a_sketch", "b_sketch", sketch_words) <= limit)
+        & _is_first_shared_band()
     )
-    return pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    # the largest component differs by bucket, so a pair may come from either side
+    ends = F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")
+    return pairs.select(*ends).distinct()
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, width: int) -> DataFrame:
@@ -208,11 +244,13 @@ def link_near_duplicates(
     """The signature of every row, and (node, component) of every distinct text that isn't its component's first.
 
     Nodes are digests of word sequences, so exact copies count once. Texts
-    that share a band are candidates. Each bucket first compares all members
+    that share a band are candidates. First each bucket compares all members
     with its pivot, the member that shares most buckets (among edited copies
-    of one text, that text); then what is still in different components of a
-    bucket is compared pairwise, so no link between components is missed, and
-    a large group of copies costs a few comparisons for each copy.
+    of one text, that text). Then, in buckets that still hold several
+    components, each text is compared with those nearest by their sketches.
+    At last all pairs there that lie in different components and may be links
+    are compared. So no link between components is missed, and in a large
+    group of copies most pairs need no comparison.
     """
     signed = stage(signatures(documents, bands, rows, sketch_words, width), "signatures")
     samples, bits = bands * rows, 64 * sketch_words
@@ -220,8 +258,9 @@ def link_near_duplicates(
     distinct = signed.where("n_shingles > 0").groupBy(F.col("digest").alias("node")).agg(
         F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
     )
+    distinct = stage(distinct, "distinct")
     banded = distinct.select("node", F.posexplode("bands").alias("i", "key")).select(
-        "node", F.xxhash64("i", "key").alias("band")
+        "node", "i", F.xxhash64("i", "key").alias("band")
     )
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = stage(banded.join(shared, "band"), "buckets")
@@ -245,15 +284,15 @@ def link_near_duplicates(
     texts = _rows(documents).join(wanted, "text_hash").where(F.col("doc_id").eqNullSafe(F.col("wanted_id")))
     sets = stage(texts.select("node", "text").dropDuplicates(["node"]), "candidates")
 
-    links = stage(_confirmed(near, sets, percent, width), "links")
-    first = connected_components(links)
-    members = (
-        buckets.select("band", "node").join(first, "node", "left")
-        .select("band", "node", F.coalesce("component", "node").alias("component"))
-        .join(sketches, "node")
-    )
-    rest = _confirmed(_cross_pairs(members, limit, sketch_words), sets, percent, width)
-    return signed, connected_components(links.unionByName(rest))
+    linked = connected_components(_confirmed(near, sets, percent, width))
+    tight = flip_bound(percent / 100, samples, bits, slack=0)
+    for candidates, most in ((_nearest_pairs, tight), (_remaining_pairs, limit)):
+        members = stage(_open_members(buckets, linked, distinct), "open")
+        links = stage(_confirmed(candidates(members, most, sketch_words), sets, percent, width), "links")
+        if not links.isEmpty():
+            known = linked.select(F.col("node").alias("u"), F.col("component").alias("v"))
+            linked = connected_components(known.unionByName(links))
+    return signed, linked
 
 
 def near_duplicates(documents: DataFrame, percent: int = 85, **settings: int) -> DataFrame:
@@ -276,3 +315,31 @@ def near_duplicates(documents: DataFrame, percent: int = 85, **settings: int) ->
     some = signed.where("n_shingles > 0").join(of_class, "digest").select("doc_id", "n_shingles", "component_id")
     none = signed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return some.unionByName(none).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(documents: DataFrame, percent: int = 80, **settings: int) -> DataFrame:
+    """The documents, all their columns, without those that are near duplicates of a kept one.
+
+    Of each component the row of smallest id stays, null ids last, then by the
+    hash of the text; of repeated rows one stays. Documents without words are
+    in no component and stay, repeated or not.
+    """
+    signed, linked = link_near_duplicates(documents, percent, **settings)
+    key = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "text_hash")
+    with_words = signed.where("n_shingles > 0").select("digest", key.alias("key"))
+    classes = with_words.groupBy(F.col("digest").alias("node")).agg(F.min("key").alias("key"))
+    named = classes.join(linked, "node", "left")
+    first = named.groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("key").alias("key"))
+    rows = with_words.groupBy("key").agg((F.count(F.lit(1)) > 1).alias("_repeated"))
+    dropped = rows.join(first.select("key", F.lit(True).alias("_first")), "key", "left")
+    marks = dropped.where(F.col("_first").isNull() | F.col("_repeated")).select(
+        F.col("key.doc_id").alias("_id"), F.col("key.text_hash").alias("_hash"), "_first"
+    )
+    same = F.xxhash64(documents["text"]).eqNullSafe(F.col("_hash")) & documents["doc_id"].eqNullSafe(F.col("_id"))
+    marks = stage(marks, "marks")
+    kept = documents.join(marks, same, "left_anti")
+    # a repeated row that stays: any one of its copies
+    again = documents.join(marks.where(F.col("_first").isNotNull()), same)
+    number = F.row_number().over(Window.partitionBy("_id", "_hash").orderBy("_id"))
+    single = again.withColumn("_number", number).where(F.col("_number") == 1)
+    return kept.unionByName(single.select(*[single[f"`{name}`"] for name in documents.columns]))
