@@ -12,7 +12,6 @@ equally likely.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,53 +29,64 @@ END, START = 256, 257
 _BITS = 9
 
 # bytes of text that share one list of words; words of one part of the vocabulary
-BLOCK_BYTES = 16 << 20
-PART_WORDS = 200_000
+BLOCK_BYTES = 32 << 20
+PART_WORDS = 100_000
 
 _BLOCKS = "block BIGINT, doc_id BIGINT, held_out BOOLEAN, ids BINARY, word BINARY, number INT, n BIGINT"
 
 
-def _block_rows(texts: list[tuple[int | None, bool, bytes]], block: int) -> pa.RecordBatch:
-    """The texts of a block as numbers of its words, and those words with their count in training texts."""
-    numbers: dict[bytes, int] = {}
-    words = [text.split() for _, _, text in texts]
-    seen = Counter()
-    for group in words:
-        seen.update(group)
-    for word, _ in seen.most_common():  # frequent words get small numbers, which pack well
-        numbers[word] = len(numbers)
-    ids, learned = [], np.zeros(len(numbers), np.int64)
-    for (_, held_out, _), group in zip(texts, words, strict=True):
-        own = np.fromiter(map(numbers.__getitem__, group), "<u4", len(group))
-        if not held_out:
-            np.add.at(learned, own, 1)
-        ids.append(zlib.compress(own.tobytes(), 1))
-    n, m = len(texts), len(numbers)
-    columns = [
-        pa.array(np.full(n + m, block, np.int64)),
-        pa.array([t[0] for t in texts] + [None] * m, pa.int64()),
-        pa.array([t[1] for t in texts] + [None] * m, pa.bool_()),
-        pa.array(ids + [None] * m, pa.binary()),
-        pa.array([None] * n + list(numbers), pa.binary()),
-        pa.array([None] * n + list(range(m)), pa.int32()),
-        pa.array([None] * n + learned.tolist(), pa.int64()),
-    ]
-    return pa.RecordBatch.from_arrays(columns, ["block", "doc_id", "held_out", "ids", "word", "number", "n"])
+class _Block:
+    """Texts as numbers of their words, and the words with their count in training texts.
+
+    Words are numbered as they come; only numbers are held of a text.
+    """
+
+    def __init__(self) -> None:
+        self.numbers: dict[bytes, int] = {}
+        self.rows: list[tuple[int | None, bool, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, doc_id: int | None, held_out: bool, text: bytes) -> None:
+        words, number = text.split(), self.numbers.setdefault
+        own = np.fromiter((number(word, len(self.numbers)) for word in words), np.uint32, len(words))
+        self.rows.append((doc_id, held_out, own))
+        self.size += len(text)
+
+    def batch(self, block: int) -> pa.RecordBatch:
+        n, m = len(self.rows), len(self.numbers)
+        counted, learned = np.zeros(m, np.int64), np.zeros(m, np.int64)
+        for _, held_out, own in self.rows:
+            np.add.at(counted, own, 1)
+            if not held_out:
+                np.add.at(learned, own, 1)
+        # frequent words get small numbers, which pack well
+        order = np.argsort(-counted, kind="stable")
+        place = np.empty(m, "<u4")
+        place[order] = np.arange(m, dtype=np.uint32)
+        ids = [zlib.compress(place[own].tobytes(), 1) for _, _, own in self.rows]
+        columns = [
+            pa.array(np.full(n + m, block, np.int64)),
+            pa.array([row[0] for row in self.rows] + [None] * m, pa.int64()),
+            pa.array([row[1] for row in self.rows] + [None] * m, pa.bool_()),
+            pa.array(ids + [None] * m, pa.binary()),
+            pa.array([None] * n + list(self.numbers), pa.binary()),
+            pa.concat_arrays([pa.nulls(n, pa.int32()), pa.array(place.astype(np.int32))]),
+            pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(learned)]),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["block", "doc_id", "held_out", "ids", "word", "number", "n"])
 
 
 def _in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list = []
-    size = made = 0
-    first = TaskContext.get().partitionId() << 32
+    block, made = _Block(), TaskContext.get().partitionId() << 32
     for batch in slices(batches, "text"):
-        texts = [(text or b"").lower() for text in batch.column("text").cast(pa.binary()).to_pylist()]
-        held += zip(batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist(), texts, strict=True)
-        size += sum(map(len, texts))
-        if size >= BLOCK_BYTES:
-            yield _block_rows(held, first + made)
-            held, size, made = [], 0, made + 1
-    if held:
-        yield _block_rows(held, first + made)
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        for row in zip(batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist(), texts, strict=True):
+            block.add(row[0], row[1], (row[2] or b"").lower())
+        if block.size >= BLOCK_BYTES:
+            yield block.batch(made)
+            block, made = _Block(), made + 1
+    if block.rows:
+        yield block.batch(made)
 
 
 def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
