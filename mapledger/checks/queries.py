@@ -452,11 +452,10 @@ def acceptance_report_all(i: Inputs) -> DataFrame:
 
 @query
 def compare_structure(i: Inputs) -> DataFrame:
-    sides = [
-        fields.selectExpr("path AS table_name", "field_name AS column_name", "data_type", "ordinal")
-        for fields in (xmlmeta.source_fields(i.map_docs()), xmlmeta.target_fields(i.map_docs()))
-    ]
-    return tablediff.compare_structure(*sides)
+    fields = xmlmeta.both_fields(i.map_docs()).selectExpr(
+        "path AS table_name", "field_name AS column_name", "data_type", "ordinal", "if(side = 'source', 'a', 'b') AS mark"
+    )
+    return tablediff.compare_sides(fields)
 
 
 @query

@@ -20,9 +20,8 @@ class Inputs:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def _spread(self, name: str) -> DataFrame:
-        """Rows of a table in a few files, dealt out to all cores; many files are dealt out already."""
-        rows, cores = self.table(name), self.spark.sparkContext.defaultParallelism
-        return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+        """Rows of a table dealt out to all cores, as making a document of a row is much work."""
+        return self.table(name).repartition(self.spark.sparkContext.defaultParallelism)
 
     # --- registry ---------------------------------------------------------
 

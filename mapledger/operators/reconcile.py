@@ -6,15 +6,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mapledger.functions.text import base_name, diff_flag, key, map_stem
-from mapledger.operators.joins import is_small, merged, placed
 from mapledger.schemas import MAP_SUFFIX, PACKAGE_SUFFIX, TABLE_PREFIX
 
 _FLAG_KEY = ["audit_id", "pack_id"]
 _TABLES = ["legacy_table", "new_table"]
 
 
+def _database(*tables: DataFrame) -> list[str]:
+    """The tracker database as a further key, where all tables name it."""
+    return ["tracker_db"] if all("tracker_db" in table.columns for table in tables) else []
+
+
+def _load_keys(legacy: DataFrame, new: DataFrame) -> list[str]:
+    return [*_database(legacy, new), "_file", "_stem"]
+
+
+def with_tracker_db(packages: DataFrame, clients: DataFrame) -> DataFrame:
+    """Packages with the tracker database of their audit and phase, as the client table has it."""
+    of_phase = clients.select("audit_name", F.rtrim("phase").alias("_phase"), "tracker_db").distinct()
+    return packages.withColumn("_phase", F.rtrim("phase")).join(of_phase, ["audit_name", "_phase"]).drop("_phase")
+
+
 def _legacy_side(log: DataFrame, collation: str | None) -> DataFrame:
     return log.select(
+        *_database(log),
         key("file_name", collation).alias("_file"),
         key(map_stem("map_name", MAP_SUFFIX), collation).alias("_stem"),
         "map_name",
@@ -28,6 +43,7 @@ def _legacy_side(log: DataFrame, collation: str | None) -> DataFrame:
 
 def _new_side(log: DataFrame, collation: str | None) -> DataFrame:
     return log.select(
+        *_database(log),
         key("file_name", collation).alias("_file"),
         key(map_stem("map_name", PACKAGE_SUFFIX), collation).alias("_stem"),
         base_name("map_name").alias("new_package"),
@@ -39,9 +55,14 @@ def _new_side(log: DataFrame, collation: str | None) -> DataFrame:
 
 
 def pair_loads(legacy: DataFrame, new: DataFrame, collation: str | None = None) -> DataFrame:
-    """Loads of the same file by the same map in both logs; repeated loads multiply."""
-    pairs = _legacy_side(legacy, collation).join(merged(_new_side(new, collation)), ["_file", "_stem"])
+    """Loads of the same file by the same map in both logs; repeated loads multiply.
+
+    Logs of several clients name their tracker database in `tracker_db`;
+    loads then pair within one client only.
+    """
+    pairs = _legacy_side(legacy, collation).join(_new_side(new, collation).hint("merge"), _load_keys(legacy, new))
     return pairs.select(
+        *_database(legacy, new),
         "map_name",
         "legacy_map",
         "new_package",
@@ -66,8 +87,9 @@ def count_diffs(pairs: DataFrame) -> DataFrame:
 
 def attach_packages(pairs: DataFrame, packages: DataFrame, audit: str | None = None) -> DataFrame:
     """Add the package that loads both tables, of one audit or of all."""
-    scoped = _scoped(packages, audit).select(*_FLAG_KEY, "audit_name", *_TABLES)
-    return pairs.join(placed(scoped, is_small(scoped)), _TABLES).select(*_FLAG_KEY, "audit_name", *pairs.columns)
+    keys = [*_database(pairs, packages), *_TABLES]
+    scoped = _scoped(packages, audit).select(*_FLAG_KEY, "audit_name", *keys)
+    return pairs.join(scoped, keys).select(*_FLAG_KEY, "audit_name", *pairs.columns)
 
 
 def _scoped(packages: DataFrame, audit: str | None) -> DataFrame:
@@ -118,21 +140,18 @@ def reconcile_flags(
     smallest and largest counts, and a file loaded a million times by both
     engines joins one row to one row.
     """
-    wanted = _scoped(packages, audit).select(*_FLAG_KEY, *_TABLES)
-    small = is_small(wanted)
-    old_side, new_side = _legacy_side(legacy, collation), _new_side(new, collation)
-    if small:
-        # only loads of the packages' tables matter; dropping the others here
-        # saves the exchanges, but is not worth one itself
-        old_side = old_side.join(F.broadcast(wanted.select("legacy_table")), "legacy_table", "left_semi")
-        new_side = new_side.join(F.broadcast(wanted.select("new_table")), "new_table", "left_semi")
-    old_side, new_side = _ranges(old_side, "legacy"), _ranges(new_side, "new")
+    database = _database(legacy, new, packages)
+    if not database:
+        legacy, new = legacy.drop("tracker_db"), new.drop("tracker_db")
+    tables = [*database, *_TABLES]
+    wanted = _scoped(packages, audit).select(*_FLAG_KEY, *tables)
+    old_side, new_side = _ranges(_legacy_side(legacy, collation), "legacy"), _ranges(_new_side(new, collation), "new")
     by_table = (
-        old_side.join(merged(new_side), ["_file", "_stem"])
-        .groupBy(*_TABLES)
+        old_side.join(new_side.hint("merge"), _load_keys(legacy, new))
+        .groupBy(*tables)
         .agg(F.max(_differs("read")).alias("_read"), F.max(_differs("written")).alias("_write"))
     )
-    by_package = by_table.join(placed(wanted, small), _TABLES).groupBy(*_FLAG_KEY).agg(
+    by_package = by_table.join(wanted, tables).groupBy(*_FLAG_KEY).agg(
         F.max("_read").alias("_read"), F.max("_write").alias("_write")
     )
     return _apply(flags, by_package)
@@ -149,7 +168,7 @@ def _ranges(side: DataFrame, engine: str) -> DataFrame:
             F.count(column).alias(f"{column}_n"),
         ]
     known = side.where(F.col("_file").isNotNull() & F.col("_stem").isNotNull())
-    return known.groupBy("_file", "_stem", table).agg(*aggregates)
+    return known.groupBy(*_database(side), "_file", "_stem", table).agg(*aggregates)
 
 
 def _differs(count: str) -> Column:

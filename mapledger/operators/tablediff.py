@@ -19,43 +19,76 @@ def describe_columns(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Da
 
 
 def compare_structure(columns_a: DataFrame, columns_b: DataFrame) -> DataFrame:
-    """Columns that one table lacks or types differently, for many table pairs at once.
+    """Columns that one table lacks, types differently or (where both state it) by another length.
 
-    Column names compare without case.
+    Many table pairs at once. Column names compare without case.
     """
-
-    def side(df: DataFrame, mark: str) -> DataFrame:
-        return df.select(
-            "table_name",
-            F.lower("column_name").alias("column_key"),
-            F.col("column_name").alias(f"column_{mark}"),
-            F.col("data_type").alias(f"type_{mark}"),
-            F.col("ordinal").alias(f"ordinal_{mark}"),
-        )
-
-    both = side(columns_a, "a").join(side(columns_b, "b"), ["table_name", "column_key"], "full_outer")
+    names = ["table_name", "column_name", "data_type", "ordinal"]
+    if "data_length" in columns_a.columns and "data_length" in columns_b.columns:
+        names.append("data_length")
+    a, b = (df.select(*names, F.lit(mark).alias("mark")) for df, mark in ((columns_a, "a"), (columns_b, "b")))
+    return compare_sides(a.unionByName(b))
+
+
+def compare_sides(columns: DataFrame) -> DataFrame:
+    """D1 over one table of both sides' columns, told apart by `mark` (a, b): one grouping, one exchange."""
+    facts = {"column": "column_name", "type": "data_type", "ordinal": "ordinal"}
+    if "data_length" in columns.columns:
+        facts["length"] = "data_length"
+    fact = F.struct(*[F.col(name).alias(short) for short, name in facts.items()])
+    key = F.lower("column_name")
+    # what has no name equals nothing on the other side
+    apart = F.when(F.col("table_name").isNull() | key.isNull(), F.col("mark"))
+    grouped = columns.groupBy("table_name", key.alias("column_key"), apart.alias("_apart")).agg(
+        *[F.collect_list(F.when(F.col("mark") == mark, fact)).alias(mark) for mark in ("a", "b")]
+    )
+    for mark in ("a", "b"):  # a column named twice pairs with every one of the other side
+        grouped = grouped.withColumn(mark, F.explode_outer(mark))
     problem = (
-        F.when(F.col("column_b").isNull(), "only in a")
-        .when(F.col("column_a").isNull(), "only in b")
-        .when(~F.col("type_a").eqNullSafe(F.col("type_b")), "type")
+        F.when(F.col("b").isNull(), "only in a")
+        .when(F.col("a").isNull(), "only in b")
+        .when(~F.col("a.type").eqNullSafe(F.col("b.type")), "type")
     )
-    return both.withColumn("problem", problem).where(F.col("problem").isNotNull())
+    if "length" in facts:
+        problem = problem.when(~F.col("a.length").eqNullSafe(F.col("b.length")), "length")
+    sides = [F.col(f"{mark}.{name}").alias(f"{name}_{mark}") for name in facts for mark in ("a", "b")]
+    return grouped.select("table_name", "column_key", *sides, problem.alias("problem")).where(F.col("problem").isNotNull())
 
 
 def compare_rows(a: DataFrame, b: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows that the two tables do not hold equally often, NULL being equal to NULL.
 
     Both sides are counted in one grouping over their common columns: one
-    exchange, and equal rows collapse before it.
+    exchange, and equal rows collapse before it. A column of two kinds of type
+    (a number and a text) is compared by its text: `01` and 1 differ, and a
+    text that is no number is a difference, not an error. Whole numbers,
+    floating ones and decimals of different widths compare as numbers.
     """
     names = list(columns) if columns else _common(a, b)
-    tagged = a.select(*names, F.lit(1).alias("_a"), F.lit(0).alias("_b")).union(
-        b.select(*names, F.lit(0).alias("_a"), F.lit(1).alias("_b"))
-    )
+    mine, other = _types(a), _types(b)
+    by_text = {name for name in names if _family(mine[name.lower()]) != _family(other[name.lower()])}
+
+    def side(df: DataFrame, in_a: int) -> DataFrame:
+        values = [F.col(name).cast("string").alias(name) if name in by_text else F.col(name) for name in names]
+        return df.select(*values, F.lit(in_a).alias("_a"), F.lit(1 - in_a).alias("_b"))
+
+    tagged = side(a, 1).union(side(b, 0))
     counted = tagged.groupBy(*names).agg(F.sum("_a").alias("count_a"), F.sum("_b").alias("count_b"))
     return counted.where(F.col("count_a") != F.col("count_b"))
 
 
+def _family(kind: str) -> str:
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return "whole"
+    if kind in ("float", "double"):
+        return "floating"
+    return kind.split("(")[0]
+
+
+def _types(df: DataFrame) -> dict[str, str]:
+    return {field.name.lower(): field.dataType.simpleString() for field in df.schema}
+
+
 def _common(a: DataFrame, b: DataFrame) -> list[str]:
     other = {name.lower() for name in b.columns}
     return [name for name in a.columns if name.lower() in other]

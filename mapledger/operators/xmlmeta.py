@@ -9,23 +9,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mapledger.operators import joins
+from mapledger.operators import xmltree
 from mapledger.operators.history import ord_column
 from mapledger.schemas import (
     EVENT_COLUMNS,
+    EVENT_ELEMENTS,
+    FIELD_ELEMENTS,
+    FILTER_ELEMENT,
     FILTER_EVENT,
-    FILTER_TAG,
     GLOBAL_OPTION_COLUMNS,
     HEADER_COLUMNS,
-    MAP_DOCUMENT,
     MAP_EVENT,
     MAP_IDENTITY,
     SOURCE_EVENT,
     SOURCE_OPTION_COLUMNS,
     TARGET_EVENT,
     TF_DOCUMENT,
-    TF_FILTER_TAGS,
-    TF_FILTERS,
+    WELL_FORMED,
     XML_OPTIONS,
 )
 
@@ -43,8 +43,19 @@ def parse_tf(docs: DataFrame) -> DataFrame:
 
 
 def parse_map(docs: DataFrame) -> DataFrame:
-    """Add `map`, the parsed mapping document."""
-    return docs.select("*", _parsed_once(F.from_xml("content", MAP_DOCUMENT, XML_OPTIONS)).alias("map"))
+    """Add `map`: what is malformed, the tags of the mapping document, and its elements of interest with those around them."""
+    return _with_elements(docs, "map", ["Parameter", "Field", "Datatype", "MapSchema"])
+
+
+def _with_elements(docs: DataFrame, name: str, wanted: list[str], child_of: str | None = None) -> DataFrame:
+    checked = F.from_xml("content", WELL_FORMED, XML_OPTIONS)
+    cut = docs.select("*", _parsed_once(F.struct(checked.alias("checked"), xmltree.tokens("content").alias("tokens"))).alias("_cut"))
+    cut = cut.withColumns({"_tokens": F.col("_cut.tokens"), "_checked": F.col("_cut.checked")})
+    sound = F.col("_checked").isNotNull() & F.col("_checked._malformed").isNull()
+    found = F.when(sound, xmltree.elements("_tokens", wanted, child_of))
+    parsed = F.struct(F.col("_checked._malformed").alias("_malformed"), F.col("_tokens").alias("tokens"), found.alias("elements"))
+    kept = F.when(F.col("_checked").isNotNull(), parsed)
+    return cut.select(*docs.columns, _parsed_once(kept).alias(name))
 
 
 def _parsed_once(parsed: Column, wanted: Column | None = None) -> Column:
@@ -151,56 +162,26 @@ def attach_headers(registry: DataFrame, headers: DataFrame, run_id: int) -> Data
 # --- source filters -------------------------------------------------------
 
 
-def _data_accesses(tf: str) -> Column:
-    return F.concat(
-        F.coalesce(_all(_sources(tf), "DataAccess"), F.array()),
-        F.coalesce(_all(_targets(tf), "DataAccess"), F.array()),
-    )
-
-
-def _filter_tags(tf: str) -> Column:
-    """Names of the elements below the filter blocks of one document, whatever they are."""
-    blocks = _all(_data_accesses(tf), "FilterExpressions")
-    names = F.transform(blocks, F.map_keys)
-    names = F.flatten(F.filter(names, lambda found: found.isNotNull()))
-    return F.filter(F.array_distinct(names), lambda name: ~F.startswith(name, F.lit("_")))
-
-
-def _one_filter_tag(content: Column, tags: Column) -> Column:
-    """The document with all filter elements under one tag.
-
-    A schema has to name its elements, and these can have any name: so each
-    document is rewritten by the names found in it. CDATA text is left alone.
-    """
-    quoted = F.transform(tags, lambda tag: F.concat(F.lit("\\Q"), tag, F.lit("\\E")))
-    tag = F.concat(F.lit("<(/?)(?:"), F.array_join(quoted, "|"), F.lit(")(?=[\\s/>])"))
-    opening, closing = "<![CDATA[", "]]>"
-
-    def rename(markup: Column) -> Column:
-        return F.regexp_replace(markup, tag, F.lit(f"<$1{FILTER_TAG}"))
-
-    def piece(text: Column, position: Column) -> Column:
-        raw = F.substring_index(text, closing, 1)
-        markup = F.substr(text, F.length(raw) + 1)
-        return F.when(position == 0, rename(text)).otherwise(F.concat(raw, rename(markup)))
-
-    pieces = F.split(content, "<!\\[CDATA\\[", -1)
-    return F.array_join(F.transform(pieces, piece), opening)
-
-
 def filter_expressions(docs: DataFrame) -> DataFrame:
-    """Filter elements of every document that has any: `filters`, an array of (language, text).
+    """Filter elements of every document that has any: `filters`, an array of (language, text) in document order.
 
-    Filters of targets are found as well as those of sources, in this order.
+    A filter is any child of the filter block of a data access, of a source or a target.
     """
-    names = F.from_xml("content", TF_FILTER_TAGS, XML_OPTIONS)
     some = docs.where(F.contains("content", F.lit("FilterExpressions")))
-    found = some.select(*_document_key(docs), "content", _parsed_once(names).alias("tf"))
-    tagged = found.where(well_formed("tf")).select(*_document_key(docs), "content", _filter_tags("tf").alias("tags"))
-    renamed = F.from_xml(_one_filter_tag(F.col("content"), F.col("tags")), TF_FILTERS, XML_OPTIONS)
-    reread = tagged.select("*", _parsed_once(renamed, F.size("tags") > 0).alias("tf"))
-    items = _all(_all(_data_accesses("tf"), "FilterExpressions"), FILTER_TAG)
-    return reread.select(*_document_key(docs), items.alias("filters"))
+    parsed = _with_elements(some.select(*_document_key(docs), "content"), "tf", [], "FilterExpressions")
+    blocks = F.filter("tf.elements", lambda e: (F.size(e["above"]) > 2) & (F.element_at(e["above"], -2)["name"] == "DataAccess"))
+    numbers = F.transform(blocks, lambda e: e["at"])
+    numbered = parsed.where(well_formed("tf")).select(*_document_key(docs), "tf", _parsed_once(numbers).alias("numbers"))
+
+    def one(at: Column) -> Column:
+        token = F.get("tf.tokens", at)
+        return F.struct(xmltree.read([xmltree.with_text(token, "F")], FILTER_ELEMENT)["F"].alias("read"), xmltree.blank_text(token).alias("blank"))
+
+    read = F.transform("numbers", one)
+    items = F.transform(
+        read, lambda r: F.struct(r["read"]["_language"].alias("_language"), F.coalesce(r["read"]["_text"], r["blank"]).alias("_text"))
+    )
+    return numbered.where(F.size("numbers") > 0).select(*_document_key(docs), items.alias("filters"))
 
 
 def filter_events(registry: DataFrame, tf_docs: DataFrame, run_id: int = 0) -> DataFrame:
@@ -229,46 +210,72 @@ def attach_filters(registry: DataFrame, filters: DataFrame, run_id: int) -> Data
 # --- mapping document -----------------------------------------------------
 
 
-def _endpoints(parent: str, child: str) -> Column:
-    return _all(F.col(f"map.{parent}"), child)
+def _named(above: Column, i: Column) -> Column:
+    return F.coalesce(F.get(above, i)["name"], F.lit(""))
 
 
-def _parameters(event_lists: Column, source: str) -> Column:
-    """Parameters of all actions of all events; an event or action without any adds nothing."""
+def _places(above: Column) -> Column:
+    """Numbers of the elements around one, from the root on."""
+    return F.when(F.size(above) > 0, F.sequence(F.lit(0), F.size(above) - 1)).otherwise(F.array().cast("array<int>"))
 
-    def of_action(event: Column, action: Column) -> Column:
-        return F.transform(
-            action["Parameter"],
-            lambda p: F.struct(
-                F.lit(source).alias("event_source"),
-                event["_name"].alias("event_name"),
-                action["_name"].alias("action_name"),
-                p["_name"].alias("parameter_name"),
-                p["_text"].alias("parameter_value"),
-            ),
-        )
 
-    def of_event(event: Column) -> Column:
-        return _joined(F.transform(event["Action"], lambda action: of_action(event, action)))
+# the elements an event must stand in; a block is found at any depth below the root
+_SECTIONS = {
+    SOURCE_EVENT: ("MapSource", "RecordLayoutEvents"),
+    TARGET_EVENT: ("MapTarget", "RecordLayoutEvents"),
+    MAP_EVENT: ("MapEvents",),
+}
 
-    rows = _joined(F.transform(_all(event_lists, "Event"), of_event))
-    return F.coalesce(rows, F.array().cast(f"ARRAY<{_EVENT}>"))
 
+def _parameters(section: str) -> Column:
+    """Parameters of all actions of all events, at any depth; an event or action without any adds nothing.
 
-def _joined(lists: Column) -> Column:
-    return F.flatten(F.filter(lists, lambda found: found.isNotNull()))
-
-
-_SECTIONS = {
-    SOURCE_EVENT: lambda: _all(_endpoints("MapSources", "MapSource"), "RecordLayoutEvents"),
-    TARGET_EVENT: lambda: _all(_endpoints("MapTargets", "MapTarget"), "RecordLayoutEvents"),
-    MAP_EVENT: lambda: F.col("map.MapEvents"),
-}
+    A parameter within nested actions is listed for each of them, in the
+    order of the events, then of the actions.
+    """
+    around = _SECTIONS[section]
+
+    def of_parameter(e: Column) -> Column:
+        above = e["above"]
+
+        def is_event(i: Column) -> Column:
+            parents = [_named(above, i - len(around) + k) == name for k, name in enumerate(around)]
+            test = (_named(above, i) == "Event") & (i > len(around))
+            for parent in parents:
+                test = test & parent
+            return test
+
+        def of_event(i: Column) -> Column:
+            actions = F.filter(_places(above), lambda j: (j > i) & (_named(above, j) == "Action"))
+            return F.transform(
+                actions,
+                lambda j: F.struct(F.get(above, i)["at"].alias("event"), F.get(above, j)["at"].alias("action"), e["at"].alias("parameter")),
+            )
+
+        return F.flatten(F.transform(F.filter(_places(above), is_event), of_event))
+
+    def read(place: Column) -> Column:
+        event, action, parameter = (F.get("map.tokens", place[kind]) for kind in ("event", "action", "parameter"))
+        fragments = [xmltree.alone(event, "Event"), xmltree.alone(action, "Action"), xmltree.with_text(parameter, "Parameter")]
+        return F.struct(xmltree.read(fragments, EVENT_ELEMENTS).alias("read"), xmltree.blank_text(parameter).alias("blank"))
+
+    found = F.filter("map.elements", lambda e: e["name"] == "Parameter")
+    places = F.array_sort(F.flatten(F.transform(found, of_parameter)))
+    return F.transform(
+        F.transform(places, read),
+        lambda r: F.struct(
+            F.lit(section).alias("event_source"),
+            r["read"]["Event"]["_name"].alias("event_name"),
+            r["read"]["Action"]["_name"].alias("action_name"),
+            r["read"]["Parameter"]["_name"].alias("parameter_name"),
+            F.coalesce(r["read"]["Parameter"]["_text"], r["blank"]).alias("parameter_value"),
+        ),
+    )
 
 
 def event_parameters(parsed: DataFrame, sections: tuple[str, ...] = tuple(_SECTIONS)) -> DataFrame:
     """A column of event rows for each section of every mapping document, in one pass."""
-    rows = [_parameters(_SECTIONS[section](), section).alias(section) for section in sections]
+    rows = [_parameters(section).alias(section) for section in sections]
     return parsed.where(well_formed("map")).select(*_document_key(parsed), *rows)
 
 
@@ -311,32 +318,110 @@ def map_events(registry: DataFrame, tf_docs: DataFrame, map_docs: DataFrame, run
     return filter_events(registry, tf_docs, run_id).unionByName(document_events(registry, map_docs, run_id=run_id))
 
 
-def _fields(docs: DataFrame, parent: str, child: str) -> DataFrame:
-    def of_endpoint(endpoint: Column) -> Column:
-        # only the first schema block of a source or target counts
-        return F.try_element_at(endpoint["MapSchema"], F.lit(1))
+def _field_places(parent: str, child: str) -> Column:
+    """(source, layout, field, datatype) for each field of each record layout of the first schema of each source."""
+    elements = F.col("map.elements")
 
-    schemas = F.transform(_endpoints(parent, child), of_endpoint)
-    fields = _all(_all(F.filter(schemas, lambda s: s.isNotNull()), "RecordLayout"), "Field")
-    rows = parse_map(docs).where(well_formed("map")).select(*_document_key(docs), F.posexplode(fields))
-    datatype = F.try_element_at("col.Datatype", F.lit(1))
+    def is_later_schema(source: Column, schema: Column) -> Column:
+        return F.exists(
+            elements,
+            lambda m: (m["name"] == "MapSchema") & (m["at"] < schema) & (F.try_element_at(m["above"], F.lit(-1))["at"] == source),
+        )
+
+    def datatype(e: Column, n: Column) -> Column:
+        # what stands in the field follows it, the data type usually at once
+        def inside(x: Column) -> Column:
+            return F.coalesce(F.get(x["above"], F.size(e["above"]))["at"] == e["at"], F.lit(False))
+
+        following = F.get(elements, n + 1)
+        later = F.filter(elements, lambda x: (x["name"] == "Datatype") & inside(x))
+        return (
+            F.when(inside(following) & (following["name"] == "Datatype"), following["at"])
+            .when(inside(following), F.get(later, F.lit(0))["at"])
+        )
+
+    def of_field(e: Column, n: Column) -> Column:
+        above = e["above"]
+
+        def is_source(i: Column) -> Column:
+            fits = (_named(above, i) == child) & (_named(above, i - 1) == parent) & (i > 1) & (_named(above, i + 1) == "MapSchema")
+            return fits & ~is_later_schema(F.get(above, i)["at"], F.get(above, i + 1)["at"])
+
+        def of_source(i: Column) -> Column:
+            layouts = F.filter(_places(above), lambda j: (j > i + 1) & (_named(above, j) == "RecordLayout"))
+            return F.transform(
+                layouts,
+                lambda j: F.struct(
+                    F.get(above, i)["at"].alias("source"), F.get(above, j)["at"].alias("layout"), e["at"].alias("field"), datatype(e, n).alias("datatype")
+                ),
+            )
+
+        rows = F.flatten(F.transform(F.filter(_places(above), is_source), of_source))
+        return F.when(e["name"] == "Field", rows)
+
+    return F.array_sort(_joined(F.transform(elements, of_field)))
+
+
+def _joined(lists: Column) -> Column:
+    return F.flatten(F.filter(lists, lambda found: found.isNotNull()))
+
+
+def _field_arrays(parsed: DataFrame, sides: dict[str, tuple[str, str]]) -> DataFrame:
+    """A column of field structs for each side of every mapping document, in one pass."""
+
+    def read(place: Column) -> Column:
+        field, datatype = F.get("map.tokens", place["field"]), F.get("map.tokens", place["datatype"])
+        kind = F.coalesce(xmltree.alone(datatype, "Datatype"), F.lit(""))
+        return xmltree.read([xmltree.alone(field, "Field"), kind], FIELD_ELEMENTS)
+
+    columns = []
+    for side, (parent, child) in sides.items():
+        rows = F.transform(F.transform(_field_places(parent, child), read), lambda r: F.struct(
+            r["Field"]["_name"].alias("field_name"), r["Datatype"]["_dataalias"].alias("data_type"), r["Datatype"]["_datalength"].alias("data_length")
+        ))
+        columns.append(rows.alias(side))
+    return parsed.where(well_formed("map")).select(*_document_key(parsed), *columns)
+
+
+SIDES = {"source": ("MapSources", "MapSource"), "target": ("MapTargets", "MapTarget")}
+
+
+def both_fields(docs: DataFrame) -> DataFrame:
+    """X13 and X14 at once, each document parsed once: the fields with their `side`, source or target."""
+    arrays = _field_arrays(parse_map(docs), SIDES)
+    tagged = F.array(*[F.struct(F.lit(side).alias("side"), F.col(side).alias("fields")) for side in SIDES])
+    sides = arrays.select(*_document_key(docs), F.explode(tagged).alias("one")).select(*_document_key(docs), "one.*")
+    return sides.select(*_document_key(docs), "side", F.posexplode("fields")).select(
+        *_document_key(docs), "side", (F.col("pos") + 1).cast("bigint").alias("ordinal"), "col.*"
+    )
+
+
+def map_fields(registry: DataFrame, map_docs: DataFrame, run_id: int = 0) -> DataFrame:
+    """X13 and X14 with the maps the documents belong to."""
+    arrays = _field_arrays(parse_map(map_docs), SIDES)
+    tagged = F.array(*[F.struct(F.lit(side).alias("side"), F.col(side).alias("fields")) for side in SIDES])
+    joined = _with_documents(registry, arrays.select(*_document_key(map_docs), tagged.alias("sides")), "map_path")
+    sides = joined.select(*MAP_IDENTITY, F.explode("sides").alias("one")).select(*MAP_IDENTITY, "one.*")
+    rows = sides.select(*MAP_IDENTITY, "side", F.posexplode("fields"))
     return rows.select(
-        *_document_key(docs),
-        (F.col("pos") + 1).cast("bigint").alias("ordinal"),
-        F.col("col._name").alias("field_name"),
-        datatype["_dataalias"].alias("data_type"),
-        datatype["_datalength"].alias("data_length"),
+        *MAP_IDENTITY, "side", "col.*", (F.col("pos") + 1).cast("bigint").alias("ordinal"), F.lit(run_id).cast("bigint").alias("run_id")
     )
 
 
+def _fields(docs: DataFrame, side: str) -> DataFrame:
+    arrays = _field_arrays(parse_map(docs), {side: SIDES[side]})
+    rows = arrays.select(*_document_key(docs), F.posexplode(side))
+    return rows.select(*_document_key(docs), (F.col("pos") + 1).cast("bigint").alias("ordinal"), "col.*")
+
+
 def source_fields(map_docs: DataFrame) -> DataFrame:
     """Fields of the source schemas; a field without a data type has NULL there."""
-    return _fields(map_docs, "MapSources", "MapSource")
+    return _fields(map_docs, "source")
 
 
 def target_fields(map_docs: DataFrame) -> DataFrame:
     """Fields of the target schemas."""
-    return _fields(map_docs, "MapTargets", "MapTarget")
+    return _fields(map_docs, "target")
 
 
 # --- quarantine -----------------------------------------------------------
@@ -366,9 +451,9 @@ def _document_key(docs: DataFrame) -> list[str]:
 
 
 def _with_documents(registry: DataFrame, extracted: DataFrame, path: str) -> DataFrame:
-    """Inner join on the path. A small registry goes to the documents, which then are not shuffled."""
+    """Inner join on the path; a registry that measures small goes to the documents, which then are not shuffled."""
     maps = registry.select(*MAP_IDENTITY, F.col(path).alias("path"), ord_column(registry).alias("doc_ord"))
-    return extracted.join(joins.placed(maps, joins.is_small(maps)), _document_key(extracted))
+    return extracted.join(maps, _document_key(extracted))
 
 
 def _run_columns(run_id: int) -> list[Column]:

@@ -59,9 +59,21 @@ def package_overview(packages: DataFrame, audit: str, phase: str, map_name: str,
     return _matching_packages(packages, audit, phase, map_name, match).select(*PACKAGE_OVERVIEW_COLUMNS)
 
 
-def map_variables(variables: DataFrame, map_name: str) -> DataFrame:
-    """Variables of the map, by its exact name."""
-    return variables.where(same_text("map_name", map_name))
+def map_variables(variables: DataFrame, map_name: str, tracker_db: str | None = None) -> DataFrame:
+    """Variables of the map, by its exact name, of one tracker database or of all."""
+    return _of_database(variables, tracker_db).where(same_text("map_name", map_name))
+
+
+def _of_database(table: DataFrame, tracker_db: str | None) -> DataFrame:
+    return table if tracker_db is None else table.where(same_text("tracker_db", tracker_db))
+
+
+def _of_client(table: DataFrame, databases: DataFrame, *keys: str) -> DataFrame:
+    """Rows of the tracker databases found for a request, where the table says whose they are."""
+    if "tracker_db" not in table.columns:
+        return table
+    bare = databases.select(*keys, _bare("tracker_db")).distinct()
+    return table.withColumn("_tracker_db", F.rtrim("tracker_db")).join(bare, [*keys, "_tracker_db"], "left_semi").drop("_tracker_db")
 
 
 def comparison_flags(flags: DataFrame, pack_id: str) -> DataFrame:
@@ -85,9 +97,11 @@ def _if_flagged(flags: DataFrame, diffs: DataFrame, flag: str, pack_id: str | No
     return diffs.join(flags.where(F.col(flag) == 1).select("pack_id"), "pack_id", "left_semi")
 
 
-def load_lines(log: DataFrame, engine: str, map_name: str, match: str = "like") -> DataFrame:
-    """Load-log lines whose map name holds the name without its suffix."""
-    lines = scan_load_log(log, engine)
+def load_lines(
+    log: DataFrame, engine: str, map_name: str, match: str = "like", tracker_db: str | None = None
+) -> DataFrame:
+    """Load-log lines whose map name holds the name without its suffix, of one tracker database or of all."""
+    lines = _of_database(scan_load_log(log, engine), tracker_db)
     return lines.where(like_contains("map_name", map_name.replace(TF_SUFFIX, ""), match)).select(*LOAD_LINE_COLUMNS)
 
 
@@ -108,20 +122,23 @@ def acceptance_report(
 
     `tables` holds clients, packages, map_variables, comparison_flags,
     structure_diffs, data_diffs, load_log and special_events; with `compare`
-    also legacy_data and new_data, the two loaded tables.
+    also legacy_data and new_data, the two loaded tables. Where load_log and
+    map_variables name their `tracker_db`, only rows of the client's count.
     """
+    client = find_client(tables["clients"], audit, phase, match)
+    log, variables = (_of_client(tables[name], client) for name in ("load_log", "map_variables"))
     package = find_package(tables["packages"], audit, phase, map_name, match)
     flags = tables["comparison_flags"].join(package.select("pack_id"), "pack_id", "left_semi")
     report = {
-        "client": find_client(tables["clients"], audit, phase, match),
+        "client": client,
         "package": package,
         "package_overview": package_overview(tables["packages"], audit, phase, map_name, match),
-        "map_variables": map_variables(tables["map_variables"], map_name),
+        "map_variables": map_variables(variables, map_name),
         "comparison_flags": flags,
         "structure_diffs": structure_diffs_if_flagged(flags, tables["structure_diffs"]),
         "data_diffs": data_diffs_if_flagged(flags, tables["data_diffs"]),
-        "load_lines_legacy": load_lines(tables["load_log"], "legacy", map_name, match),
-        "load_lines_new": load_lines(tables["load_log"], "new", map_name, match),
+        "load_lines_legacy": load_lines(log, "legacy", map_name, match),
+        "load_lines_new": load_lines(log, "new", map_name, match),
         "special_events": special_events(tables["special_events"], audit, map_name),
     }
     if compare:
@@ -189,12 +206,25 @@ def _picked(requests: DataFrame, found: DataFrame) -> DataFrame:
     return rows.na.fill("", texts).na.fill(0, ["match_count"])
 
 
-def load_lines_for(requests: DataFrame, log: DataFrame, engine: str, match: str = "like") -> DataFrame:
-    """U9 or U10 for a table of requests."""
+def load_lines_for(
+    requests: DataFrame, log: DataFrame, engine: str, match: str = "like", databases: DataFrame | None = None
+) -> DataFrame:
+    """U9 or U10 for a table of requests.
+
+    With `databases` (request_id, tracker_db), the clients found for the
+    requests, a log that names its tracker database gives the lines of each
+    request's own client only.
+    """
     asked = requests.select("request_id", F.replace("map_name", F.lit(TF_SUFFIX), F.lit("")).alias("pattern"))
-    lines = scan_load_log(log, engine).select(*LOAD_LINE_COLUMNS)
+    named = ["tracker_db"] if databases is not None and "tracker_db" in log.columns else []
+    lines = scan_load_log(log, engine).select(*LOAD_LINE_COLUMNS, *named)
     pairs = contains_pairs(lines, "map_name", asked, "pattern", match)
     matched = pairs.join(asked, "pattern").select("request_id", F.col("value").alias("map_name"))
+    if named:
+        # the client is part of the key, so a text that many clients use does not meet them all
+        matched = matched.join(databases.select("request_id", _bare("tracker_db")).distinct(), "request_id")
+        lines = lines.withColumn("_tracker_db", F.rtrim("tracker_db"))
+        return lines.join(matched, ["map_name", "_tracker_db"]).select("request_id", *LOAD_LINE_COLUMNS)
     return lines.join(matched, "map_name").select("request_id", *LOAD_LINE_COLUMNS)
 
 
@@ -208,27 +238,34 @@ def acceptance_report_all(
     """
     found = stage(packages_for(requests, tables["packages"], match), "packages")
     package = _picked(requests, found)
-    picked = package.select("request_id", "pack_id")
-    flags = picked.join(tables["comparison_flags"], "pack_id")
+    client = stage(clients_for(requests, tables["clients"], match), "clients")
+    # a request without a package has none to look up
+    picked = package.where(F.col("pack_id") != "").select("request_id", _bare("pack_id"))
+
+    def of_package(name: str, wanted: DataFrame) -> DataFrame:
+        table = tables[name].withColumn("_pack_id", F.rtrim("pack_id"))
+        return wanted.join(table, "_pack_id").select("request_id", *tables[name].columns)
+
+    flags = of_package("comparison_flags", picked)
 
     def diffs(name: str, flag: str) -> DataFrame:
-        flagged = flags.where(F.col(flag) == 1).select("request_id", "pack_id").distinct()
-        return flagged.join(tables[name], "pack_id")
+        return of_package(name, flags.where(F.col(flag) == 1).select("request_id", _bare("pack_id")).distinct())
 
     def by(name: str, *keys: str) -> DataFrame:
         asked = requests.select("request_id", *map(_bare, keys))
         bare = [f"_{k}" for k in keys]
-        return tables[name].select("*", *map(_bare, keys)).join(asked, bare).drop(*bare)
+        found = tables[name].select("*", *map(_bare, keys)).join(asked, bare).drop(*bare)
+        return _of_client(found, client, "request_id")
 
     return {
-        "client": clients_for(requests, tables["clients"], match),
+        "client": client,
         "package": package,
         "package_overview": _overview(found),
         "map_variables": by("map_variables", "map_name"),
         "comparison_flags": flags,
         "structure_diffs": diffs("structure_diffs", "has_template_difference"),
         "data_diffs": diffs("data_diffs", "has_data_difference"),
-        "load_lines_legacy": load_lines_for(requests, tables["load_log"], "legacy", match),
-        "load_lines_new": load_lines_for(requests, tables["load_log"], "new", match),
+        "load_lines_legacy": load_lines_for(requests, tables["load_log"], "legacy", match, client),
+        "load_lines_new": load_lines_for(requests, tables["load_log"], "new", match, client),
         "special_events": by("special_events", "audit_name", "map_name"),
     }

@@ -84,7 +84,7 @@ TABLES: dict[str, str] = {
     "audits": _ddl(["audit_name", "server", "registry_db", "tracker_db"]),
     "map_registry": _ddl(MAP_IDENTITY, "active_bit INT"),
     "load_log": _ddl(
-        ["engine", "data_group", "file_name", "map_name", "table_name", "s_file_name", "sql_server", "sql_database"],
+        ["audit_name", "tracker_db", "engine", "data_group", "file_name", "map_name", "table_name", "s_file_name", "sql_server", "sql_database"],
         "records_read BIGINT",
         "records_written BIGINT",
         "file_size BIGINT",
@@ -98,6 +98,14 @@ TABLES: dict[str, str] = {
         "last_load TIMESTAMP_NTZ",
         "run_id BIGINT",
     ),
+    "map_fields": _ddl(
+        [*MAP_IDENTITY, "side", "field_name", "data_type", "data_length"], "ordinal BIGINT", "run_id BIGINT"
+    ),
+    "document_errors": _ddl(["kind", "path", "problem"]),
+    "map_variables": _ddl(["tracker_db", "map_name", "variable_name", "variable_value"]),
+    "special_events": _ddl(["audit_name", "map_name", "event_name", "event_value"]),
+    "structure_diffs": _ddl(["pack_id", "table_name", "column_name", "difference"]),
+    "data_diffs": _ddl(["pack_id", "table_name", "row_key", "difference"]),
     "clients": _ddl(["audit_name", "phase", "tracker_db", "legacy_db", "new_db"]),
     "packages": _ddl(
         [
@@ -163,33 +171,11 @@ TF_DOCUMENT = f"""
     _malformed STRING
 """
 
-# The filter children carry any tag; they are read under this one (xmlmeta).
-FILTER_TAG = "FilterItem"
-
-
-def _filters(expressions: str) -> str:
-    access = f"DataAccess: ARRAY<STRUCT<FilterExpressions: ARRAY<{expressions}>>>"
-    return f"""
-        TransformationSources ARRAY<STRUCT<TransformationSource: ARRAY<STRUCT<{access}>>>>,
-        TransformationTargets ARRAY<STRUCT<TransformationTarget: ARRAY<STRUCT<{access}>>>>,
-        _malformed STRING
-    """
-
+# enough to have a document read to its end
+WELL_FORMED = "_none STRING, _malformed STRING"
 
-# a map tells the names of the children, one entry for each name
-TF_FILTER_TAGS = _filters("MAP<STRING, STRING>")
-TF_FILTERS = _filters(f"STRUCT<{FILTER_TAG}: ARRAY<STRUCT<_language: STRING, _text: STRING>>>")
-
-_EVENTS = """ARRAY<STRUCT<Event: ARRAY<STRUCT<_name: STRING, Action: ARRAY<STRUCT<
-    _name: STRING, Parameter: ARRAY<STRUCT<_name: STRING, _text: STRING>>>>>>>>"""
-_ENDPOINT = f"""ARRAY<STRUCT<
-    MapSchema: ARRAY<STRUCT<RecordLayout: ARRAY<STRUCT<Field: ARRAY<STRUCT<
-        _name: STRING, Datatype: ARRAY<STRUCT<_dataalias: STRING, _datalength: STRING>>>>>>>>,
-    RecordLayoutEvents: {_EVENTS}>>"""
-
-MAP_DOCUMENT = f"""
-    MapSources ARRAY<STRUCT<MapSource: {_ENDPOINT}>>,
-    MapTargets ARRAY<STRUCT<MapTarget: {_ENDPOINT}>>,
-    MapEvents {_EVENTS},
-    _malformed STRING
-"""
+# Fragments of one element each (operators/xmltree.py)
+FILTER_ELEMENT = "F STRUCT<_language: STRING, _text: STRING>"
+EVENT_ELEMENTS = """
+    Event STRUCT<_name: STRING>, Action STRUCT<_name: STRING>, Parameter STRUCT<_name: STRING, _text: STRING>"""
+FIELD_ELEMENTS = "Field STRUCT<_name: STRING>, Datatype STRUCT<_dataalias: STRING, _datalength: STRING>"

@@ -19,29 +19,43 @@ def scan_registry(registry: DataFrame) -> DataFrame:
     return registry.where(F.col("active_bit") == 1)
 
 
-def existing_audits(spark: SparkSession, tables: Mapping[str, str]) -> tuple[dict[str, str], list[str]]:
-    """S3: split {audit: registry table} into the present ones and the names without a table."""
-    present = {audit: table for audit, table in tables.items() if spark.catalog.tableExists(table)}
-    return present, [audit for audit in tables if audit not in present]
-
-
-def registry_tables(audits: DataFrame, table: str = "map_registry") -> dict[str, str]:
-    """{audit: qualified registry table} of the audit list, one entry per audit."""
+def existing_audits(
+    spark: SparkSession, tables: Iterable[tuple[str, str]]
+) -> tuple[list[tuple[str, str]], list[tuple[str, str]]]:
+    """S3: split pairs (audit, registry table) into those whose table is there and the others."""
+    present, absent = [], []
+    for audit, table in tables:
+        (present if spark.catalog.tableExists(table) else absent).append((audit, table))
+    return present, absent
+
+
+def registry_tables(audits: DataFrame, table: str = "map_registry") -> list[tuple[str, str]]:
+    """(audit, qualified registry table) for every row of the audit list, in its order.
+
+    An audit with several registries has several rows. The list of audits is
+    an index of databases: tens of rows, held by the driver.
+    """
     rows = audits.select("audit_name", "registry_db").toLocalIterator()
-    return {row.audit_name: f"{row.registry_db}.{table}" for row in rows}
+    return [(row.audit_name, f"{row.registry_db}.{table}") for row in rows]
 
 
-def registry_all_audits(sources: Mapping[str, DataFrame]) -> DataFrame:
+def registry_all_audits(sources: Mapping[str, DataFrame] | Iterable[tuple[str, DataFrame]]) -> DataFrame:
     """The registries of all audits as one frame, each row tagged with its audit."""
-    return union_all(df.withColumn("audit_name", F.lit(audit)) for audit, df in sources.items())
+    pairs = sources.items() if isinstance(sources, Mapping) else sources
+    return union_all(df.withColumn("audit_name", F.lit(audit)) for audit, df in pairs)
 
 
 def read_all_audits(spark: SparkSession, audits: DataFrame, exclude: str) -> tuple[DataFrame | None, list[str]]:
-    """S1, S3 and S4 in a row: one frame over the audits that have a registry, and the names of the others."""
-    present, absent = existing_audits(spark, registry_tables(scan_audits(audits, exclude)))
+    """S1, S3 and S4 in a row: one frame over all registries there are, and the audits of the others.
+
+    A registry that two rows name alike is read once.
+    """
+    tables = list(dict.fromkeys(registry_tables(scan_audits(audits, exclude))))
+    present, absent = existing_audits(spark, tables)
+    names = [audit for audit, _ in absent]
     if not present:
-        return None, absent
-    return registry_all_audits({audit: spark.table(table) for audit, table in present.items()}), absent
+        return None, names
+    return registry_all_audits([(audit, spark.table(table)) for audit, table in present]), names
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mapledger.functions.text import base_name, like_contains, overlong_values, same_text
-from mapledger.operators import joins, tablediff
+from mapledger.operators import tablediff
 from mapledger.operators.matching import contains_pairs
 from mapledger.plans import acceptance
 from mapledger.schemas import TABLES
@@ -42,14 +42,6 @@ def test_containment_join_equals_brute_force(spark, match):
     assert sorted(map(tuple, contains_pairs(left, "v", right, "p", match).collect())) == expected
 
 
-def test_containment_join_beyond_the_broadcast_size(spark, monkeypatch):
-    monkeypatch.setattr(joins.is_small, "__defaults__", (0,))
-    left = spark.createDataFrame([(t,) for t in TEXTS], "v STRING")
-    right = spark.createDataFrame([(p,) for p in PARTS], "p STRING")
-    expected = sorted((v, p) for v in TEXTS for p in PARTS if like(v, p))
-    assert sorted(map(tuple, contains_pairs(left, "v", right, "p").collect())) == expected
-
-
 @pytest.mark.parametrize("part", PARTS)
 def test_like_with_a_constant(spark, part):
     df = spark.createDataFrame([(t,) for t in TEXTS], "v STRING")
@@ -140,3 +132,32 @@ def test_row_differences_equal_except_all(spark, rows):
     more_a = found.where("count_a > count_b").selectExpr("i", "s", "explode(sequence(1, int(count_a - count_b)))").select("i", "s")
     more_b = found.where("count_b > count_a").selectExpr("i", "s", "explode(sequence(1, int(count_b - count_a)))").select("i", "s")
     assert rows(more_a) == rows(a.exceptAll(b)) and rows(more_b) == rows(b.exceptAll(a))
+
+
+def test_compare_columns_of_differing_types(spark, rows):
+    a = spark.createDataFrame([(1, "x"), (2, "y")], "id INT, t STRING")
+    b = spark.createDataFrame([("1", "x"), ("02", "y"), ("no number", "z")], "id STRING, t STRING")
+    assert rows(tablediff.compare_rows(a, b)) == [("02", "y", 0, 1), ("2", "y", 1, 0), ("no number", "z", 0, 1)]
+
+
+def test_compare_structure_with_lengths(spark, rows):
+    columns = "table_name STRING, column_name STRING, data_type STRING, ordinal BIGINT, data_length STRING"
+    a = spark.createDataFrame([("t", "A", "char", 1, "4"), ("t", "b", "char", 2, None), (None, "x", "char", 1, "1")], columns)
+    b = spark.createDataFrame([("t", "a", "char", 1, "8"), ("t", "B", "char", 3, None), (None, "x", "char", 1, "1")], columns)
+    found = tablediff.compare_structure(a, b).select("table_name", "column_key", "problem", "length_a", "length_b")
+    assert rows(found) == [("t", "a", "length", "4", "8"), (None, "x", "only in a", "1", None), (None, "x", "only in b", None, "1")]
+    assert "SinglePartition" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_load_lines_of_the_own_client(spark, rows):
+    log = spark.createDataFrame(
+        [("legacy", db, "d", "f", "m.map.xml", "t", "s", 1, 1, 1, db) for db in ("dbA", "dbB")],
+        "engine STRING, tracker_db STRING, data_group STRING, file_name STRING, map_name STRING, table_name STRING, s_file_name STRING, "
+        "records_read BIGINT, records_written BIGINT, file_size BIGINT, sql_database STRING",
+    )
+    requests = spark.createDataFrame([(1, "A", "1", "m.tf.xml"), (2, "B", "1", "m.tf.xml")], "request_id INT, audit_name STRING, phase STRING, map_name STRING")
+    databases = spark.createDataFrame([(1, "dbA "), (2, "dbB"), (2, "dbC")], "request_id INT, tracker_db STRING")
+    found = acceptance.load_lines_for(requests, log, "legacy", databases=databases)
+    assert rows(found.select("request_id", "sql_database")) == [(1, "dbA"), (2, "dbB")]
+    assert acceptance.load_lines_for(requests, log, "legacy").count() == 4
+    assert [r.sql_database for r in acceptance.load_lines(log, "legacy", "m.tf.xml", tracker_db="dbB").collect()] == ["dbB"]

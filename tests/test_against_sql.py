@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry
+from mapledger.checks import oracles
+from mapledger.checks import queries as registered
 from mapledger.checks.compare import connect, difference
 
 from .conftest import TESTDATA
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registered.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +19,7 @@ def connection():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from mapledger.operators import reconcile
 
 LOG = "file_name STRING, map_name STRING, table_name STRING, records_read BIGINT, records_written BIGINT"
@@ -65,14 +67,27 @@ def test_hot_file_does_not_multiply(spark):
     assert (found.has_read_difference, found.has_write_difference) == (1, 0)
 
 
-def test_packages_too_many_to_broadcast(spark, rows, monkeypatch):
+def test_flags_equal_those_of_the_pairs(spark, rows):
     legacy = spark.createDataFrame([("f", "d\\m.map.xml", "T", 5, 1), ("g", "d\\m.map.xml", "T", 1, 1)], LOG)
     new = spark.createDataFrame([("f", "d\\m.dtsx", "N", 3, 1), ("g", "d\\m.dtsx", "M", 1, None)], LOG)
     packages = spark.createDataFrame([("a", "1", "X", "dbo.T", "N"), ("a", "2", "X", "dbo.T", "M")], PACKAGES)
     flags = spark.createDataFrame([("a", "1", 0, 0, 7, 8), ("a", "2", 0, 0, 7, 8)], FLAGS)
     expected = [("a", "1", 0, 0, 1, 0), ("a", "2", 0, 0, 0, 1)]
     assert rows(reconcile.reconcile_flags(flags, legacy, new, packages)) == expected
-    monkeypatch.setattr(reconcile, "is_small", lambda df: False)
-    merged = reconcile.reconcile_flags(flags, legacy, new, packages)
-    assert rows(merged) == expected
     assert rows(reconcile.update_flags(flags, reconcile.reconcile(legacy, new, packages))) == expected
+
+
+def test_clients_do_not_mix(spark, rows):
+    """Two clients load files of one name by maps of one name, each with equal counts in both engines."""
+    log = LOG + ", tracker_db STRING"
+    legacy = spark.createDataFrame([("f", "d\\m.map.xml", "T", 5, 5, "dbA"), ("f", "d\\m.map.xml", "T", 9, 9, "dbB")], log)
+    new = spark.createDataFrame([("f", "d\\m.dtsx", "N", 5, 5, "dbA"), ("f", "d\\m.dtsx", "N", 9, 8, "dbB")], log)
+    packages = spark.createDataFrame([("a", "1", "A", "dbo.T", "N"), ("b", "2", "B", "dbo.T", "N")], PACKAGES).withColumn("phase", F.lit("1 "))
+    clients = spark.createDataFrame([("A", "1", "dbA"), ("B", "1", "dbB"), ("B", "2", "dbA")], "audit_name STRING, phase STRING, tracker_db STRING")
+    keyed = reconcile.with_tracker_db(packages, clients)
+    flags = spark.createDataFrame([("a", "1", 0, 0, None, None), ("b", "2", 0, 0, None, None)], FLAGS)
+    expected = [("a", "1", 0, 0, 0, 0), ("b", "2", 0, 0, 0, 1)]
+    assert rows(reconcile.reconcile_flags(flags, legacy, new, keyed)) == expected
+    details = reconcile.reconcile(legacy, new, keyed)
+    assert details.count() == 2 and rows(reconcile.update_flags(flags, details)) == expected
+    assert reconcile.pair_loads(legacy, new).count() == 2

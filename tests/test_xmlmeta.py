@@ -4,45 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from mapledger.functions.text import derive_paths
-from mapledger.operators import joins, xmlmeta
-
-SAMPLE = """<?xml version="1.0" encoding="UTF-8" ?>
-<!-- a text file into a table -->
-<Transformation version = "1" creator = "someone">
-  <LogManager loglocation = "\\\\files.example\\logs\\a.log"/>
-  <TransformationOptions>
-    <Option name = "overflowhandling" value = "3"/>
-    <Option name = "truncationhandling" value = "1"/>
-    <Option name = "unrelated" value = "x"/>
-  </TransformationOptions>
-  <TransformationSources>
-    <TransformationSource name = "in" connectorname = "Text (Lines)">
-      <TransformationSourceOptions>
-        <Option name = "fldsep" value = "|"/>
-        <Option name = "header" value = "True"/>
-        <Option name = "codepage" value = "UTF-8"/>
-        <Option name = "fldedelim" value = "&quot;"/>
-        <Option name = "recsep" value = "CRLF"/>
-        <Option name = "fldsdelim" value = "&quot;"/>
-        <Option name = "layoutmismatch" value = "1"/>
-        <Option name = "soffset" value = "3"/>
-      </TransformationSourceOptions>
-      <DataAccess>
-        <ConnectionInfo><ConnectionDetail location = "x"><Extra><![CDATA[7<&>]]></Extra></ConnectionDetail></ConnectionInfo>
-        <DataAccessOptions><Option name = "codepage" value = "not this"/></DataAccessOptions>
-      </DataAccess>
-    </TransformationSource>
-  </TransformationSources>
-  <TransformationTargets>
-    <TransformationTarget name = "out" connectorname = "A Database" outputmode = "Append">
-      <TransformationTargetOptions>
-        <Option name = "novalue"/>
-        <Option name = "layoutmismatch" value = "7"/>
-      </TransformationTargetOptions>
-    </TransformationTarget>
-  </TransformationTargets>
-</Transformation>"""
-
+from mapledger.operators import xmlmeta
+from mapledger.schemas import GLOBAL_OPTION_COLUMNS, SOURCE_OPTION_COLUMNS
 
 def tf(sources="", targets="", options=""):
     return (
@@ -80,23 +43,18 @@ def filters(spark):
     return run
 
 
-def test_sample_header(headers):
-    assert headers(SAMPLE) == [
-        {
-            "connector_type": "Text (Lines)",
-            "code_page": "UTF-8",
-            "record_separator": "CRLF",
-            "field_separator": "|",
-            "field_start_delimiter": '"',
-            "field_end_delimiter": '"',
-            "header": "True",
-            "start_offset": "3",
-            "truncation_handling": "1",
-            "overflow_handling": "3",
-            "layout_mismatch": "1",
-            "output_mode": "Append",
-        }
-    ]
+def test_every_header_column(headers):
+    def options(columns):
+        return "".join(f'<Option name="{option}" value="&quot;{column}"/>' for column, option in columns.items())
+
+    document = tf(
+        source(options(SOURCE_OPTION_COLUMNS) + '<Option name="unrelated" value="x"/>', connector="Text (Lines)"),
+        '<TransformationTarget outputmode="Append"><TransformationTargetOptions><Option name="header" value="7"/>'
+        "</TransformationTargetOptions></TransformationTarget>",
+        options(GLOBAL_OPTION_COLUMNS),
+    )
+    wanted = {column: f'"{column}' for column in SOURCE_OPTION_COLUMNS | GLOBAL_OPTION_COLUMNS}
+    assert headers(document) == [wanted | {"connector_type": "Text (Lines)", "output_mode": "Append"}]
 
 
 def test_last_source_and_last_target_count(headers):
@@ -147,8 +105,19 @@ def test_filters_of_any_tag_in_document_order(filters):
     assert found == [("x", "1 < 2"), ("007", " spaces "), ("empty", None), ("c", "<A a>b & c & more"), ("t", "target")]
 
 
+def test_filters_of_odd_names_and_depth(filters):
+    odd = '<_F language="a">1</_F><DataAccess language="b">2</DataAccess><TransformationSource language="c"> </TransformationSource>'
+    odd += "<FilterExpressions language='d'>4<inner/>tail</FilterExpressions><N.1-x language='e>f'>5</N.1-x>"
+    block = f"<DataAccess><FilterExpressions>{odd}</FilterExpressions></DataAccess>"
+    wanted = [("a", "1"), ("b", "2"), ("c", " "), ("d", "4"), ("e>f", "5")]
+    assert filters(f"<Transformation><Any><Where>{block}</Where></Any></Transformation>") == wanted
+    assert filters(f"<?xml version='1.0'?><!-- <DataAccess> --><!DOCTYPE T [<!ENTITY x 'y'>]><T><![CDATA[<DataAccess>]]>{block}</T>") == wanted
+    # not in a data access, or the root itself
+    assert filters(f"<T><FilterExpressions>{odd}</FilterExpressions></T>") == []
+    assert filters(block) == []
+
+
 def test_filters_absent(filters):
-    assert filters(SAMPLE) == []
     assert filters(tf(source())) == []
     assert filters("<Transformation>FilterExpressions</Transformation>") == []
     assert filters("<FilterExpressions>") == []
@@ -194,6 +163,32 @@ def test_events_without_parameters_vanish(events):
     assert events(document) == [("Map", "g", "b", "p", None), ("Map", "g", "b", "q", " x\n ")]
 
 
+def test_events_at_any_depth(events):
+    parameter = '<Wrap><Parameter name="p{0}">v{0}</Parameter></Wrap>'
+    nested = f'<Actions><Action name="outer">{parameter.format(1)}<Action name="inner">{parameter.format(2)}</Action>{parameter.format(3)}</Action></Actions>'
+    event = f'<Event name="e">{nested}</Event>'
+    wanted = [("outer", "p1"), ("outer", "p2"), ("outer", "p3"), ("inner", "p2")]
+    for block in (
+        f"<MapSources><MapSource><RecordLayoutEvents>{event}</RecordLayoutEvents></MapSource></MapSources>",
+        f"<MapTargets><MapTarget><RecordLayoutEvents>{event}</RecordLayoutEvents></MapTarget></MapTargets>",
+        f"<MapEvents>{event}</MapEvents>",
+    ):
+        found = events(f"<Root><Map>{block}</Map></Root>")
+        assert [(a, p) for _, _, a, p, _ in found] == wanted and {v for *_, v in found} == {"v1", "v2", "v3"}
+    # an event that isn't directly in its block doesn't count, nor does a block that is the root
+    assert events(f"<Map><MapEvents><Events>{event}</Events></MapEvents></Map>") == []
+    assert events(f"<MapEvents>{event}</MapEvents>") == []
+
+
+def test_texts_of_parameters(events):
+    texts = [" ", "\n\t", "a<!-- c -->b", "<![CDATA[<x> ]]>&#233;&lt;", "x<Parameter name='q'>in</Parameter>y", "", "&#10;", "a\r\nb"]
+    parameters = "".join(f"<Parameter name='{i}'>{t}</Parameter>" for i, t in enumerate(texts)) + "<Parameter name='8' />"
+    found = events(f"<Map><MapEvents><Event name='&amp;e'><Action name=\"a > 'b'\">{parameters}</Action></Event></MapEvents></Map>")
+    assert {(e, a) for _, e, a, _, _ in found} == {("&e", "a > 'b'")}
+    values = {p: v for *_, p, v in found}
+    assert [values.get(str(i)) for i in range(9)] == [" ", "\n\t", "ab", "<x> é<", "x", None, "\n", "a\nb", None] and values["q"] == "in"
+
+
 def test_long_text_stays_whole(events):
     text = "word &amp; " * 30_000
     found = events(f'<Map><MapEvents><Event name="e"><Action name="a"><Parameter name="p">{text}</Parameter></Action></Event></MapEvents></Map>')
@@ -208,6 +203,18 @@ def test_fields(spark, rows):
     assert rows(xmlmeta.target_fields(docs)) == []
 
 
+def test_fields_at_any_depth(spark, rows):
+    inner = '<Field name="c"><Props><Datatype dataalias="int" datalength="4"/><Datatype dataalias="no"/></Props></Field>'
+    fields = f'<Fields><Field name="a"><Field name="b"/></Field>{inner}</Fields>'
+    schema = f"<MapSchema><RecordLayouts><RecordLayout>{fields}</RecordLayout><RecordLayout><Field name='d'/></RecordLayout></RecordLayouts></MapSchema>"
+    document = f"<R><Map><MapTargets><MapTarget><X/>{schema}<MapSchema><RecordLayout><Field name='no'/></RecordLayout></MapSchema></MapTarget></MapTargets></Map></R>"
+    docs = spark.createDataFrame([("p", document)], "path STRING, content STRING")
+    wanted = [("p", 1, "a", None, None), ("p", 2, "b", None, None), ("p", 3, "c", "int", "4"), ("p", 4, "d", None, None)]
+    assert rows(xmlmeta.target_fields(docs)) == wanted
+    assert rows(xmlmeta.source_fields(docs)) == []
+    assert rows(xmlmeta.both_fields(docs).where("side = 'target'").drop("side")) == wanted
+
+
 def test_document_errors(spark, rows):
     registry = derive_paths(
         spark.createDataFrame([("A", "1", "d", "a.tf.xml"), ("A", "2", "d", "b.tf.xml")], "audit_name STRING, map_id STRING, map_folder STRING, map_name STRING")
@@ -223,21 +230,12 @@ def test_document_errors(spark, rows):
 
 
 def test_one_parser_call_for_each_document(spark):
-    docs = spark.createDataFrame([("p", SAMPLE)], "path STRING, content STRING")
-
-    def calls(df):
-        plan = df._jdf.queryExecution().optimizedPlan().toString()
-        return plan.count("from_xml(")
-
-    assert calls(xmlmeta.header_fields(xmlmeta.parse_tf(docs))) == 1
-    assert calls(xmlmeta.event_parameters(xmlmeta.parse_map(docs))) == 1
-    assert calls(xmlmeta.filter_expressions(docs)) == 2
-    assert calls(xmlmeta.source_fields(docs).where(F.col("field_name") == "a")) == 1
+    docs = spark.createDataFrame([("p", tf())], "path STRING, content STRING")
+    plan = xmlmeta.header_fields(xmlmeta.parse_tf(docs))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml(") == 1
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_registry_of_any_size(spark, rows, monkeypatch, small):
-    monkeypatch.setattr(joins, "is_small", lambda df: small)
+def test_registry_join(spark, rows):
     registry = derive_paths(
         spark.createDataFrame(
             [("A", "1", "d", "a.tf.xml"), ("B", "2", "d", "a.tf.xml"), ("B", "3", "d", "b.tf.xml"), ("B", None, None, "c")],
@@ -249,5 +247,5 @@ def test_registry_of_any_size(spark, rows, monkeypatch, small):
     assert rows(headers.select("audit_name", "map_id", "connector_type")) == [("A", "1", "c"), ("B", "2", "c")]
     events = xmlmeta.filter_events(registry, tf_docs)
     assert rows(events.select("map_id", "parameter_name", "parameter_value")) == [("1", "l", "x"), ("2", "l", "x")]
-    plan = headers._jdf.queryExecution().executedPlan().toString()
-    assert ("BroadcastHashJoin" if small else "SortMergeJoin") in plan
+    # nothing is counted while the query is built, or gathered in one partition
+    assert "SinglePartition" not in headers._jdf.queryExecution().executedPlan().toString()
