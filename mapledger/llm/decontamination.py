@@ -75,7 +75,7 @@ def _item_keys(items: DataFrame, radius: int, blocks: int) -> DataFrame:
         near = F.transform(masks, lambda mask: mask.cast("bigint").bitwiseXOR(F.col(f"_block{i}")))
         parts.append(F.transform(near, lambda value: F.struct(F.lit(i).alias("block"), value.alias("value"))))
     blocked = items.select("*", *[_block("fp", *b).alias(f"_block{i}") for i, b in enumerate(_block_bits(blocks))])
-    keyed = blocked.select("item_id", F.col("m").alias("item_m"), F.col("fp").alias("item_fp"), "item_shingles", F.explode(F.concat(*parts)).alias("key"))
+    keyed = blocked.select("item_id", F.col("m").alias("item_m"), F.col("fp").alias("item_fp"), F.explode(F.concat(*parts)).alias("key"))
     return keyed.select("*", "key.*").drop("key")
 
 
@@ -143,10 +143,15 @@ def _leaks_of_width(
     cut = cut.where(F.size("words") >= width).withColumn("n", F.size("words") - (width - 1))
     placed = cut.select("doc_id", "text_hash", "n", F.posexplode(_shingles("words", width)).alias("at", "h"))
     windows = _item_windows(placed.join(sizes, "h"), similarity)
-    # repeated rows have given equal windows, which the set of hits holds once
+    # repeated rows have given equal windows, which the set of hits holds once; a window is
+    # few bytes and much work, so they are dealt out by number, not by size
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    windows = windows.repartition(parts, "text_hash", "item_m", "start")
     keyed = _window_keys(windows.withColumn("fp", _fingerprint("window")), blocks)
-    near = keyed.join(_item_keys(own, radius, blocks), ["item_m", "block", "value"])
+    near = keyed.join(_item_keys(own, radius, blocks).hint("merge"), ["item_m", "block", "value"])
     near = near.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
+    texts = own.select(F.col("item_id").alias("_own_id"), "item_shingles")
+    near = near.join(texts, F.col("item_id").eqNullSafe(F.col("_own_id")))
     verified = near.withColumn("similarity", _weighted_similarity("window", "item_shingles", "w"))
     return verified.where(F.col("similarity") >= similarity).groupBy("doc_id", "text_hash", "item_id").agg(
         F.max("similarity").alias("similarity"),
