@@ -105,5 +105,58 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(sorted(found.items(), key=lambda item: int(item[0][2:].split("_")[0])))
 
 
+# nodes v, links l (a, b) both ways -> smallest node reachable
+_COMPONENTS = """
+    reach(a, b) AS (SELECT node, node FROM nodes UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+    component AS (SELECT a AS node, min(b) AS component_id FROM reach GROUP BY a)"""
+
+_VECTORS_SQL = f"""
+    WITH RECURSIVE usable AS (
+        SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        WHERE label IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    nodes AS (SELECT vec_id AS node FROM embeddings),
+    links AS (
+        SELECT p.vec_id AS a, q.vec_id AS b FROM usable p JOIN usable q ON p.label = q.label AND p.vec_id <> q.vec_id AND len(p.e) = len(q.e)
+        WHERE list_dot_product(p.e, q.e) / (sqrt(list_dot_product(p.e, p.e)) * sqrt(list_dot_product(q.e, q.e))) >= 0.98),
+    {_COMPONENTS}
+    SELECT node AS vec_id, CAST((SELECT count(*) FROM links WHERE a = node) AS BIGINT) AS n_links, component_id, node = component_id AS kept
+    FROM component"""
+
+_NEAR_DUPLICATES_SQL = rf"""
+    WITH RECURSIVE worded AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+        FROM documents),
+    shingles AS (
+        SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM worded WHERE len(w) > 0)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    shared AS (
+        SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS k FROM shingles p JOIN shingles q ON p.s = q.s AND p.doc_id <> q.doc_id GROUP BY 1, 2),
+    nodes AS (SELECT doc_id AS node FROM documents),
+    links AS (
+        SELECT a, b FROM shared JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 100 * k >= 85 * (x.n + y.n - k)),
+    {_COMPONENTS}
+    SELECT node AS doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, node = component_id AS kept
+    FROM component LEFT JOIN sizes ON node = doc_id"""
+
+_CHAT_SQL = r"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+        UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+    sized AS (
+        SELECT *, 24 + length(role) + length(text) + len(regexp_extract_all(text, '<\|\\*(im_start|im_end)\|>')) AS chars FROM turns),
+    gathered AS (
+        SELECT conv_id, count(*) AS n, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS lines,
+               coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss, sum(chars) AS chars
+        FROM sized GROUP BY conv_id)
+    SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(n AS BIGINT) AS n_turns, sha256(lines) AS turns_sha256,
+           CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars
+    FROM gathered"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for the queries that it can express; the tests hold the others against brute force."""
+    return {"op5_vector_links": _VECTORS_SQL, "op6_near_duplicates": _NEAR_DUPLICATES_SQL, "op9_chat": _CHAT_SQL}
