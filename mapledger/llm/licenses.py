@@ -72,13 +72,37 @@ def template_table(spark, templates: list[tuple[str, str]], dice: float) -> Data
     rows = [(i, name, text) for i, (name, text) in enumerate(templates)]
     table = spark.createDataFrame(rows, "template INT, license STRING, template_text STRING")
     table = table.withColumn("words", normalised_words("template_text"))
-    table = table.select("template", "license", _bigrams("words").alias("template_bigrams"))
+    table = table.select("template", "license", "words", _bigrams("words").alias("template_bigrams"))
     n = F.size("template_bigrams")
     return table.where(n > 0).select(
         "*", F.ceil(n * dice / (2 - dice) - 1e-9).cast("int").alias("low"), F.floor(n * (2 - dice) / dice + 1e-9).cast("int").alias("high")
     )
 
 
+def signal_words(bigrams: int, words: list[str], dice: float) -> list[str]:
+    """Words of a template of which a passage has at least one if it reaches the coefficient.
+
+    Of a template of a bigrams at least a * dice / (2 - dice) are shared. So
+    words are taken, the longest first, until more bigrams would be missing
+    without them than may be. None if letters alone can't do that.
+    """
+    may_miss, chosen, missing = bigrams - bigrams * dice / (2 - dice) + 1e-9, [], set()
+    for word in sorted({w for w in words if w.isalpha()}, key=lambda w: (-len(w), w)):
+        chosen.append(word)
+        missing |= {i for i in range(bigrams) if word in (words[i], words[i + 1])}
+        if len(missing) > may_miss:
+            return chosen
+    return []
+
+
+def _may_hold(text: str, signals: list[list[str]]) -> Column:
+    """Whether a text has a signal word of some template; always true if a template has none."""
+    if not all(signals):
+        return F.lit(True)
+    words = sorted({word for chosen in signals for word in chosen})
+    return F.rlike(F.lower(text), F.lit("|".join(words)))
+
+
 def passages(documents: DataFrame) -> DataFrame:
     """Sentences, lines, paragraphs and whole texts of every document, as (doc_id, text_hash, passage).
 
@@ -100,24 +124,24 @@ def scan_licenses(documents: DataFrame, templates: list[tuple[str, str]] | None
     texts hold nothing. Repeated rows of one id and text give one row for
     each licence, rows with a null id are told apart by their text. An empty
     table gives no rows; further columns are ignored. `templates` is a list
-    held by the driver; its bigrams filter passages as a constant set.
+    held by the driver; its signal words and bigrams filter passages as constants.
     """
     spark = documents.sparkSession
     table = template_table(spark, TEMPLATES if templates is None else templates, dice)
-    facts = table.select("template_bigrams", "low", "high").collect()  # of the caller's list
+    facts = table.select("template_bigrams", "words", "low", "high").collect()  # of the caller's list
     if not facts:
         facts_low, facts_high, known = 1, 0, [0]
     else:
         facts_low, facts_high = min(f.low for f in facts), max(f.high for f in facts)
         known = sorted({h for f in facts for h in f.template_bigrams})
-    texts = documents.select("doc_id", "text").where(F.col("text").isNotNull())
-    # a passage of b bigrams has more than b spaces or so; longer ones can't be of a template's size
-    sized = passages(texts)
+    signals = [signal_words(len(f.template_bigrams), f.words, dice) for f in facts]
+    texts = documents.select("doc_id", "text").where(F.col("text").isNotNull() & _may_hold("text", signals))
+    sized = passages(texts).where(_may_hold("passage", signals))
     words = sized.select("doc_id", "text_hash", F.explode(F.array(normalised_words("passage"))).alias("words"))
     words = words.where((F.size("words") > facts_low) & (F.size("words") <= facts_high + 1))
     cut = words.select("doc_id", "text_hash", F.explode(F.array(_bigrams("words"))).alias("bigrams"))
     near = cut.where(F.exists("bigrams", lambda h: h.isin(known)))
-    bounded = table.select("*", F.explode(F.sequence("low", "high")).alias("n")).drop("low", "high")
+    bounded = table.drop("words").select("*", F.explode(F.sequence("low", "high")).alias("n")).drop("low", "high")
     matched = near.withColumn("n", F.size("bigrams")).join(F.broadcast(bounded), "n")
     matched = matched.withColumn("dice", _dice("bigrams", "template_bigrams")).where(F.col("dice") >= dice)
     best = matched.groupBy("doc_id", "text_hash", "bigrams").agg(
