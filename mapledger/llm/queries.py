@@ -48,7 +48,7 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scored by a byte model, and by single tokens, of the training documents."""
-    return ppm.score_documents(_table(spark, sf_dir, "documents"), parts=7, held_out=2)
+    return ppm.score_texts(_table(spark, sf_dir, "documents"), parts=7, held_out=2)
 
 
 def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
