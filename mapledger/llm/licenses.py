@@ -6,7 +6,9 @@ digits and inner dots or hyphens.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DICE = 0.9
@@ -150,3 +152,97 @@ def scan_licenses(documents: DataFrame, templates: list[tuple[str, str]] | None
     return best.groupBy("doc_id", "text_hash", F.col("best.license").alias("license")).agg(
         F.max("best.dice").alias("dice"), F.count(F.lit(1)).alias("n_passages")
     ).drop("text_hash")
+
+
+def _shared_at_least(a: int, b: int, dice: float) -> int:
+    """How many bigrams a passage of b shares with a template of a to reach the coefficient."""
+    return math.ceil(dice * (a + b) / 2 - 1e-9)
+
+
+def _least_run(a: int, low: int, high: int, dice: float) -> int:
+    """Shared bigrams that follow one another in any window that reaches the coefficient."""
+    runs = []
+    for b in range(low, high + 1):
+        shared = _shared_at_least(a, b, dice)
+        runs.append(-(-shared // (b - shared + 1)))
+    return max(1, min(runs, default=1))
+
+
+def scan_notices(documents: DataFrame, templates: list[tuple[str, str]] | None = None, dice: float = DICE) -> DataFrame:
+    """The columns of `scan_licenses`, for notices anywhere in the words of a text.
+
+    Windows of all sizes that can reach the coefficient slide over the
+    normalised words, so line ends, comment marks and neighbours play no part.
+    The best window of a template begins and ends with a bigram of it; only
+    those are tried. Of windows that overlap the best counts (ties: the
+    longest, then the first template). `n_passages` counts windows that don't
+    overlap, those with the same bigrams of the template at the same distances
+    once. Null, repeated and empty rows are treated as `scan_licenses` does.
+    """
+    spark = documents.sparkSession
+    table = template_table(spark, TEMPLATES if templates is None else templates, dice)
+    facts = table.collect()  # of the caller's list
+    known = sorted({h for f in facts for h in f.template_bigrams}) or [0]
+    signals = [signal_words(len(f.template_bigrams), f.words, dice) for f in facts]
+    run = min((_least_run(len(f.template_bigrams), f.low, f.high, dice) for f in facts), default=1)
+    rows = [
+        (h, f.template, f.license, len(f.template_bigrams), f.low, f.high, _shared_at_least(len(f.template_bigrams), f.low, dice), f.template_bigrams.count(h))
+        for f in facts for h in sorted(set(f.template_bigrams))
+    ]
+    items = spark.createDataFrame(rows, "h BIGINT, template INT, license STRING, a INT, low INT, high INT, needed INT, most INT")
+
+    texts = documents.select("doc_id", "text").where(F.col("text").isNotNull() & _may_hold("text", signals))
+    words = texts.select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(F.array(normalised_words("text"))).alias("words"))
+    pairs = words.select("doc_id", "text_hash", F.explode(F.array(_bigrams("words"))).alias("bigrams"))
+    placed = F.filter(F.transform("bigrams", lambda h, i: F.struct(i.alias("pos"), h.alias("h"))), lambda x: x.h.isin(known))
+    anchors = pairs.select("doc_id", "text_hash", F.explode(F.array(placed)).alias("anchors"))
+    # any window holds so many anchors in a row
+    follow = F.transform("anchors", lambda x, i: F.get(F.col("anchors"), i + (run - 1)).pos - x.pos == run - 1)
+    anchors = anchors.where(F.exists(follow, lambda x: F.coalesce(x, F.lit(False))))
+    anchors = anchors.select("doc_id", "text_hash", F.explode("anchors").alias("x")).select("doc_id", "text_hash", "x.pos", "x.h")
+
+    key = ["doc_id", "text_hash"]
+    bounds = ["template", "license", "a", "low", "high", "needed"]
+    matched = anchors.join(F.broadcast(items), "h").groupBy(*key, *bounds).agg(F.array_sort(F.collect_set(F.struct("pos", "h", "most"))).alias("own"))
+    matched = matched.where(F.size("own") >= F.col("needed"))
+    # a window from here has enough of the template's bigrams
+    ahead = F.transform(
+        "own",
+        lambda x, i: F.when(F.get(F.col("own"), i + F.col("needed") - 1).pos - x.pos < F.col("high"), F.slice(F.col("own"), i + 1, F.col("high"))),
+    )
+    starts = matched.select(*key, *bounds, F.explode(F.filter(ahead, lambda x: x.isNotNull())).alias("ahead"))
+    starts = starts.withColumn("begin", F.get("ahead", F.lit(0)).pos)
+    starts = starts.select(*key, *bounds, "begin", F.explode(F.array(F.filter("ahead", lambda x: x.pos - F.col("begin") < F.col("high")))).alias("own"))
+    # bigrams count as often as the template has them
+    counted = F.transform("own", lambda x, i: F.size(F.filter(F.slice(F.col("own"), F.lit(1), i + 1), lambda y: y.h == x.h)) <= x.most)
+    starts = starts.select("*", F.explode(F.array(counted)).alias("counted"))
+    ends = F.transform(
+        "own",
+        lambda x, i: F.struct(
+            (2 * F.size(F.filter(F.slice(F.col("counted"), F.lit(1), i + 1), lambda y: y)) / (F.col("a") + x.pos - F.col("begin") + 1)).alias("dice"),
+            x.pos.alias("end"),
+        ),
+    )
+    windows = starts.withColumn("best", F.array_max(ends)).where(F.col("best.dice") >= dice)
+    within = F.filter("own", lambda x: x.pos <= F.col("best.end"))
+    windows = windows.select(
+        *key, "template", "license", "begin", F.col("best.end").alias("end"), F.col("best.dice").alias("dice"),
+        F.xxhash64(F.transform(within, lambda x: F.struct(x.h, x.pos - F.col("begin")))).alias("passage"),
+    )
+
+    # windows that hang together by overlaps are settled together
+    ordered = Window.partitionBy(*key).orderBy("begin", "end", "template")
+    before = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    windows = windows.withColumn("opens", F.coalesce(F.col("begin") > before, F.lit(True)).cast("int"))
+    windows = windows.withColumn("cluster", F.sum("opens").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    ranked = F.struct((-F.col("dice")).alias("less"), (F.col("begin") - F.col("end")).alias("shorter"), "template", "begin", "end", "license", "passage")
+    clusters = windows.groupBy(*key, "cluster").agg(F.array_sort(F.collect_list(ranked)).alias("ranked"))
+    taken = F.aggregate(
+        "ranked",
+        F.slice("ranked", 1, 0),
+        lambda kept, x: F.when(F.exists(kept, lambda y: (x.begin <= y.end) & (y.begin <= x.end)), kept).otherwise(F.concat(kept, F.array(x))),
+    )
+    found = clusters.select(*key, F.explode(taken).alias("x"))
+    return found.groupBy(*key, F.col("x.license").alias("license")).agg(
+        (-F.min("x.less")).alias("dice"), F.size(F.collect_set("x.passage")).cast("bigint").alias("n_passages")
+    ).drop("text_hash")

@@ -97,7 +97,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices in all documents."""
-    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+    return licenses.scan_notices(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
