@@ -71,12 +71,14 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SPACE = re.compile(r"\s+")
+_HEADING = re.compile("h[1-6]")
 
 
 @dataclass(slots=True)
 class Node:
     tag: str
     unwanted: bool = False
+    doubtful: bool = False  # unwanted unless its text speaks for it
     children: list = field(default_factory=list)  # nodes and texts
     chars: int = 0
     tags: int = 0
@@ -86,23 +88,29 @@ class Node:
     density_sum: float = 0.0
 
 
-def _is_unwanted(tag: str, attributes: str) -> bool:
-    """Whether attributes mark an element as no part of the article."""
+def _marked(tag: str, attributes: str) -> tuple[bool, bool]:
+    """Whether attributes mark an element as no part of the article, and whether that is in doubt.
+
+    The ids of sections and paragraphs are often made from their headings, and
+    a part of a slug is a weak mark there, unless it ends with a word for comments.
+    A heading is never marked by words.
+    """
     if not attributes.strip() or tag in ("body", "main"):
-        return False
-    words = COMMENT_WORDS if tag == "article" else UNWANTED_WORDS
+        return False, False
+    words, marks = COMMENT_WORDS if tag == "article" else UNWANTED_WORDS, []
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return True, False
         if name == "style" and _HIDDEN.search(value):
-            return True
-        if name in ("class", "id", "role"):
+            return True, False
+        if name in ("class", "id", "role") and not _HEADING.fullmatch(tag):
             for token in value.replace("_", "-").split():
                 if token not in words and (words.isdisjoint(token.split("-")) or token.startswith(LAYOUT_PREFIXES)):
                     continue
-                return True
-    return False
+                weak = name == "id" or token not in words
+                marks.append(tag in ("section", "p") and weak and token.split("-")[-1] not in COMMENT_WORDS)
+    return bool(marks), bool(marks) and all(marks)
 
 
 def parse(page: str) -> Node:
@@ -132,11 +140,12 @@ def parse(page: str) -> Node:
         if tag == "html":
             continue
         _close_implied(stack, tag)
-        node = Node(tag, tag in DROPPED or _is_unwanted(tag, found[3]))
+        marked, doubtful = _marked(tag, found[3])
+        node = Node(tag, tag in DROPPED or marked, doubtful and tag not in DROPPED or tag == "form" and not marked)
         stack[-1].children.append(node)
         if tag in ("article", "main") and not node.unwanted:
             for outer in stack:  # what holds the article isn't ruled out by its class
-                outer.unwanted = outer.tag in DROPPED
+                outer.unwanted = outer.tag in DROPPED and outer.tag != "form"
         if tag in VOID or found[3].rstrip().endswith("/") and tag not in BLOCKS and tag not in RAW:
             continue
         if tag in RAW:
@@ -282,9 +291,49 @@ def blocks(node: Node) -> list[str]:
     return found
 
 
+def _possible(root: Node) -> list[Node]:
+    """Nodes of a subtree in page order that are wanted or in doubt."""
+    found, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        found.append(node)
+        stack.extend(c for c in reversed(node.children) if isinstance(c, Node) and (c.doubtful or not c.unwanted))
+    return found
+
+
+def choose(root: Node) -> Node | None:
+    """The article, with the parts of it whose marks are in doubt and whose text isn't mostly links.
+
+    A form that holds most of a page's text is kept if the page has no article
+    by its tag. If nothing is left of a page, what is in doubt is looked at.
+    """
+    nodes = _possible(root)
+    forms = [n for n in nodes if n.tag == "form" and n.unwanted]
+    if forms and not any(n.tag in ("article", "main") and not n.unwanted for n in nodes):
+        for form in forms:
+            form.unwanted = False
+        measure(root, root)
+        for form in forms:
+            form.unwanted = 2 * form.chars <= root.chars
+    chosen = select(root)
+    if chosen is None:
+        for node in nodes:
+            if node.tag != "form" and node.doubtful:
+                node.unwanted = False
+        return select(root)
+    doubtful = [n for n in _possible(chosen) if n.doubtful and n.unwanted and n.tag != "form"]
+    for node in doubtful:
+        node.unwanted = False
+    if doubtful:
+        measure(chosen, chosen)
+    for node in doubtful:
+        node.unwanted = 2 * node.link_chars >= node.chars
+    return chosen
+
+
 def main_text(page: str) -> str:
     """The article of a page, one line for each block; empty if there is none."""
-    chosen = select(parse(page))
+    chosen = choose(parse(page))
     return "\n".join(blocks(chosen)) if chosen else ""
 
 
