@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mapledger.llm import (
+    alignment,
     chat,
     decontamination,
+    hard_negatives,
     html_density,
     language_crf,
     licenses,
@@ -18,6 +20,7 @@ from mapledger.llm import (
     packing,
     ppm,
     token_counts,
+    toxicity,
     vector_links,
 )
 
@@ -100,6 +103,26 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_notices(_table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored for toxicity by a model of the labelled ones outside the held-out part."""
+    documents = _table(spark, sf_dir, "documents")
+    model = toxicity.learn(documents, _table(spark, sf_dir, "labels"), parts=5, held_out=0)
+    return toxicity.score_documents(documents, model, parts=5, held_out=0)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, some labels moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine_negatives(vectors, is_anchor=F.col("vec_id") % 100 == 0)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of two vocabularies over every document."""
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    return alignment.count_links(_table(spark, sf_dir, "documents"), *paths)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f) and name[2].isdigit()}
     return dict(sorted(found.items(), key=lambda item: int(item[0][2:].split("_")[0])))
@@ -157,6 +180,32 @@ _CHAT_SQL = r"""
     FROM gathered"""
 
 
+_HARD_NEGATIVES_SQL = """
+    WITH usable AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_dot_product(a.e, c.e) AS BIGINT) AS score
+        FROM usable a JOIN usable c ON a.vec_id % 100 = 0 AND len(a.e) = len(c.e)),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same AND vec_id <> anchor_id
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id, CAST(row_number() OVER first AS INTEGER) AS rank, vec_id AS negative_id, positive_score,
+           score AS negative_score
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    WINDOW first AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+    QUALIFY row_number() OVER first <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that it can express; the tests hold the others against brute force."""
-    return {"op5_vector_links": _VECTORS_SQL, "op6_near_duplicates": _NEAR_DUPLICATES_SQL, "op9_chat": _CHAT_SQL}
+    return {
+        "op5_vector_links": _VECTORS_SQL,
+        "op6_near_duplicates": _NEAR_DUPLICATES_SQL,
+        "op9_chat": _CHAT_SQL,
+        "op12_hard_negatives": _HARD_NEGATIVES_SQL,
+    }

@@ -16,6 +16,8 @@ COLUMNS = {
     "op7_languages": "doc_id held_out lang_pred score",
     "op8_token_counts": "doc_id n_bytes n_tokens over_limit",
     "op10_licenses": "doc_id license dice n_passages",
+    "op11_toxicity": "doc_id held_out score predicted sentence_score sentence_start sentence_end",
+    "op13_alignment": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
 }
 
 
