@@ -29,13 +29,16 @@ from mapledger.session import stage
 # bytes of text in one block of documents
 BLOCK_BYTES = 8 << 20
 # words remembered by a task; beyond, they are forgotten and aligned anew
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 # words aligned at once
 _BATCH = 20_000
+# words encoded as one text
+_SIDE_BY_SIDE = 1000
 _B_BITS = 20
 _SPACE = "▁"
 _FALLBACK = re.compile("<0x([0-9A-F]{2})>")
 # a space before something that is none and behind something that is none
+_PLAIN = re.compile(r" \S(?:.*[^ ])?", re.DOTALL).fullmatch
 _CUT = re.compile(r"(?<=[^ ]) (?=\S)")
 
 
@@ -63,7 +66,7 @@ class Vocabularies:
             for piece, byte in zip(pieces, fallback, strict=True)
         ]
         self.a_sizes, self.b_sizes = (np.array([len(b) for b in table], np.int64) for table in (self.a_bytes, self.b_bytes))
-        self.a_names, self.b_names = ([str(n) for n in range(len(table))] for table in (self.a_bytes, self.b_bytes))
+        self.a_names, self.b_names = _names(len(self.a_bytes), ",|"), _names(len(self.b_bytes), ",;\n")
         # a piece never holds a space behind something else: then no piece reaches over a cut
         self.cuts = not any(" " in piece.lstrip(" ") for piece in (b.decode("utf-8", "replace") for b in self.b_bytes))
 
@@ -164,17 +167,28 @@ class Aligner:
         self.groups: list[str] = []
         # n_a, n_b, n_groups, n_links of each word; a word whose bytes differ has n_a of -1
         self.sizes = np.zeros((0, 4), np.int64)
-        self.links: list[np.ndarray] = []
+        # the links of all words one after the other, pairs of ids in one number, and where those of each word begin
+        self.links, self.starts = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def learn(self, words: list[str]) -> None:
-        """Align new words; links are pairs of ids in one number."""
+        """Align new words."""
+        sizes, links = [self.sizes], [self.links]
+        words = sorted(words, key=lambda word: _PLAIN(word) is None)
         for start in range(0, len(words), _BATCH):
             some = words[start : start + _BATCH]
-            sizes, groups, links, stops = align(self.vocabularies, some)
+            of_words, groups, found = align(self.vocabularies, some)
             self.numbers.update(zip(some, range(len(self.groups), len(self.groups) + len(some)), strict=True))
             self.groups += groups
-            self.sizes = np.concatenate([self.sizes, sizes])
-            self.links += np.split(links, stops[:-1])
+            sizes.append(of_words)
+            links.append(found)
+        self.sizes, self.links = np.concatenate(sizes), np.concatenate(links)
+        self.starts = np.cumsum(self.sizes[:, 3]) - self.sizes[:, 3]
+
+    def links_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The links of some words one after the other, and how many each has."""
+        n = self.sizes[numbers, 3]
+        first = np.repeat(self.starts[numbers] - (np.cumsum(n) - n), n)
+        return self.links[first + np.arange(len(first))], n
 
     def documents(self, batch: list[str]) -> list[np.ndarray]:
         """Numbers of the words of each text; none where the text has no tokens."""
@@ -199,24 +213,54 @@ def _vocabularies(a_path: str, b_path: str) -> Vocabularies:
     return Vocabularies(a_path, b_path)
 
 
-def align(vocabularies: Vocabularies, words: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
-    """(n_a, n_b, n_groups, n_links) and groups of each word, its links one after the other, and where they end.
+def align(vocabularies: Vocabularies, words: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """(n_a, n_b, n_groups, n_links) and groups of each word, and the links of all words one after the other.
 
     Between two neighbouring cuts of either tokenizer lies one pair of
     tokens that overlap, so the links are read at the union of the cuts.
     """
-    a, b = vocabularies.spans(words)
-    good = vocabularies.sound(words, a, b)
-    (a_ids, a_ends, a_n), (b_ids, b_ends, b_n) = (_only(side, good) for side in (a, b))
-    widths = np.array([len(word.encode("utf-8", "surrogatepass")) for word in words], np.int64) * good
-    base = np.cumsum(widths) - widths
-    a_at, b_at = a_ends + np.repeat(base, a_n), b_ends + np.repeat(base, b_n)
+    widths = np.array([len(word.encode("utf-8", "surrogatepass")) for word in words], np.int64)
+    side_by_side = _joined(vocabularies, words, np.cumsum(widths))
+    if side_by_side:
+        good = np.ones(len(words), bool)
+        (a_ids, a_at, a_n), (b_ids, b_at, b_n) = side_by_side
+    else:
+        a, b = vocabularies.spans(words)
+        good = vocabularies.sound(words, a, b)
+        widths = widths * good
+        (a_ids, a_ends, a_n), (b_ids, b_ends, b_n) = (_only(side, good) for side in (a, b))
+        base = np.cumsum(widths) - widths
+        a_at, b_at = a_ends + np.repeat(base, a_n), b_ends + np.repeat(base, b_n)
     cuts, common = np.union1d(a_at, b_at), np.intersect1d(a_at, b_at, assume_unique=True)
     links = a_ids[np.searchsorted(a_at, cuts)] << _B_BITS | b_ids[np.searchsorted(b_at, cuts)]
-    stops = base + widths
+    stops = np.cumsum(widths)
     n_links, n_groups = (np.diff(np.searchsorted(at, stops, side="right"), prepend=0) for at in (cuts, common))
     sizes = np.stack([np.where(good, a_n, -1), b_n, n_groups, n_links], axis=1)
-    return sizes, _written(vocabularies, (a_ids, a_at), (b_ids, b_at), common, n_groups), links, np.cumsum(n_links)
+    return sizes, _written(vocabularies, (a_ids, a_at), (b_ids, b_at), common, stops, n_groups), links
+
+
+def _joined(vocabularies: Vocabularies, words: list[str], stops: np.ndarray) -> list[tuple] | None:
+    """(ids, ends in bytes from the first word on, tokens of each word) of A and B from words encoded side by side.
+
+    Words that begin with one space and don't end with any are cut apart by
+    both tokenizers, so many are encoded as one text. None if some word isn't
+    like that, or the tokens don't stop at each word or hold other bytes.
+    """
+    if not vocabularies.cuts or not all(_PLAIN(word) for word in words):
+        return None
+    parts = ["".join(words[start : start + _SIDE_BY_SIDE]) for start in range(0, len(words), _SIDE_BY_SIDE)]
+    sides = vocabularies.spans(parts)
+    if not vocabularies.sound(parts, *sides).all():
+        return None
+    base = np.concatenate([[0], stops[_SIDE_BY_SIDE - 1 :: _SIDE_BY_SIDE]])[: len(parts)]
+    found = []
+    for ids, ends, lengths in sides:
+        at = ends + np.repeat(base, lengths)
+        place = np.searchsorted(at, stops)
+        if place.max(initial=-1) >= len(at) or (at[place] != stops).any():
+            return None
+        found.append((ids, at, np.diff(place + 1, prepend=0)))
+    return found
 
 
 def _only(side: tuple, good: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -227,16 +271,27 @@ def _only(side: tuple, good: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
     return ids[kept], ends[kept], lengths * good
 
 
-def _written(vocabularies: Vocabularies, a: tuple, b: tuple, common: np.ndarray, n_groups: np.ndarray) -> list[str]:
+def _written(vocabularies: Vocabularies, a: tuple, b: tuple, common: np.ndarray, stops: np.ndarray, n_groups: np.ndarray) -> list[str]:
     """The groups of each word as `a1,a2|b1;a3|b2,b3`."""
-    parts = []
-    for (ids, ends), names in ((a, vocabularies.a_names), (b, vocabularies.b_names)):
+    of_group, names = [], []
+    for (ids, ends), table in ((a, vocabularies.a_names), (b, vocabularies.b_names)):
         group = np.searchsorted(common, ends)
-        of_group = np.split(np.array(names, object)[ids], np.flatnonzero(np.diff(group)) + 1) if len(ids) else []
-        parts.append([",".join(one) for one in of_group])
-    groups = [f"{left}|{right}" for left, right in zip(*parts, strict=True)]
-    stops = np.cumsum(n_groups)
-    return [";".join(groups[start:stop]) for start, stop in zip((stops - n_groups).tolist(), stops.tolist(), strict=True)]
+        closes = common[group] == ends if len(ids) else np.zeros(0, bool)
+        # a name with what follows it: another one of its group, the other side, a group, or a word
+        kind = closes.astype(np.int64)
+        if table is vocabularies.b_names:
+            kind += closes & np.isin(ends, stops)
+        of_group.append(group)
+        names.append(table[ids, kind])
+    sides = np.repeat([0, 1], [len(one) for one in names])
+    order = np.argsort(np.concatenate(of_group) * 2 + sides, kind="stable")
+    written = iter("".join(np.concatenate(names)[order].tolist()).split("\n"))
+    return [next(written) if n else "" for n in n_groups.tolist()]
+
+
+def _names(n: int, marks: str) -> np.ndarray:
+    """Each number as text, followed by each of the marks."""
+    return np.array([[f"{number}{mark}" for mark in marks] for number in range(n)], object)
 
 
 # --- operators ------------------------------------------------------------
@@ -293,9 +348,8 @@ def _aligned_blocks(a_path: str, b_path: str, block_bytes: int):
                 _BLOCK_SCHEMA,
             )
             # what the block's words are made of: each word's links by their place among the block's distinct ones
-            of_word = [aligner.links[number] for number in used.tolist()]
-            n = np.array([len(one) for one in of_word], np.int64)
-            links, place = np.unique(np.concatenate([*of_word, np.zeros(0, np.int64)]), return_inverse=True)
+            of_words, n = aligner.links_of(used)
+            links, place = np.unique(of_words, return_inverse=True)
             counts = np.bincount(place, np.repeat(times, n), len(links)).astype(np.int64)
             row = dict.fromkeys(_BLOCK_SCHEMA.names)
             row |= {
