@@ -22,18 +22,35 @@ from mapledger.llm.batches import slices, texts
 
 # the fitting sample: different texts of each label, those of smallest hash, and their greatest length
 SAMPLE_TEXTS = 1500
-SAMPLE_CHARS = 20_000
-# a word must occur in so many sampled texts to get a weight
-LEAST_TEXTS = 3
-STEPS, RATE = 250, 0.1
+SAMPLE_CHARS = 10_000
+# a feature must occur in so many sampled texts to get a weight
+LEAST_TEXTS = 5
+STEPS, RATE = 150, 0.15
 # strength of the pull of all weights to zero, in documents
-PENALTY = 0.3
+PENALTY = 0.1
+# letters of a word's beginnings that count beside the word: what is inflected or compounded shares them
+BEGINNINGS = (4, 5)
 _START = -6.0
+# words whose weight is remembered by a task
+_REMEMBERED = 400_000
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"\w+")
 
 
+class _Features(dict):
+    """The features of each word: itself, and its beginnings as `begin-`."""
+
+    def __missing__(self, word: str) -> tuple[str, ...]:
+        if len(self) > _REMEMBERED:
+            self.clear()
+        self[word] = found = (word, *(word[:n] + "-" for n in BEGINNINGS if len(word) > n))
+        return found
+
+
+_features = _Features()
+
+
 def sentences(text: str) -> list[tuple[int, int, set[str]]]:
     """(start, end, distinct lower-case words) of every sentence that has a word.
 
@@ -43,9 +60,13 @@ def sentences(text: str) -> list[tuple[int, int, set[str]]]:
     return [one for one in found if one[2]]
 
 
+def features(words: set[str]) -> set[str]:
+    return set().union(*map(_features.__getitem__, words))
+
+
 @dataclass
 class Model:
-    """Weights of words, the bias of a sentence, and the share of documents toxic for no sentence of theirs."""
+    """Weights of features, the bias of a sentence, and the share of documents toxic for no sentence of theirs."""
 
     weights: dict[str, float]
     bias: float
@@ -56,7 +77,7 @@ class Model:
         weight, places, logits = self.weights.get, [], []
         for start, end, words in sentences(text):
             places.append((start, end))
-            logits.append(self.bias + sum(weight(word, 0.0) for word in words))
+            logits.append(self.bias + sum(weight(feature, 0.0) for feature in features(words)))
         return places, np.array(logits, np.float64)
 
     def score(self, logits: np.ndarray) -> float:
@@ -82,7 +103,7 @@ def fit(sample: list[tuple[str, bool]], weights: dict[bool, float] | None = None
     toxic = np.array([label for _, label in sample], bool)
     if not len(toxic) or toxic.all() or not toxic.any():
         return Model({}, -np.inf, float(len(toxic) > 0 and toxic.all()))
-    cut = [[words for _, _, words in sentences(text)] for text, _ in sample]
+    cut = [[features(words) for _, _, words in sentences(text)] for text, _ in sample]
     texts_with = Counter(word for found in cut for word in set().union(*found))
     vocabulary = {word: n for n, word in enumerate(sorted(w for w, n in texts_with.items() if n >= LEAST_TEXTS))}
     owner = np.repeat(np.arange(len(cut)), [len(found) for found in cut])
