@@ -44,15 +44,18 @@ def parse_tf(docs: DataFrame) -> DataFrame:
 
 def parse_map(docs: DataFrame) -> DataFrame:
     """Add `map`: what is malformed, the tags of the mapping document, and its elements of interest with those around them."""
-    return _with_elements(docs, "map", ["Parameter", "Field", "Datatype", "MapSchema"])
+    return _with_elements(docs, "map", _AROUND, ["Parameter", "Field"], once="MapSchema", inner=("Field", "Datatype"))
 
 
-def _with_elements(docs: DataFrame, name: str, wanted: list[str], child_of: str | None = None) -> DataFrame:
+def _with_elements(docs: DataFrame, name: str, around: list[str], wanted: list[str], **found_as) -> DataFrame:
     checked = F.from_xml("content", WELL_FORMED, XML_OPTIONS)
     cut = docs.select("*", _parsed_once(F.struct(checked.alias("checked"), xmltree.tokens("content").alias("tokens"))).alias("_cut"))
     cut = cut.withColumns({"_tokens": F.col("_cut.tokens"), "_checked": F.col("_cut.checked")})
     sound = F.col("_checked").isNotNull() & F.col("_checked._malformed").isNull()
-    found = F.when(sound, xmltree.elements("_tokens", wanted, child_of))
+    # any child may be wanted, whatever its name
+    named = None if "child_of" in found_as else [*around, *wanted, *found_as.get("inner", ())]
+    cut = cut.select(*docs.columns, "_tokens", "_checked", _parsed_once(F.when(sound, xmltree.marks("_tokens", named))).alias("_marks"))
+    found = F.when(sound, xmltree.elements("_marks", around, wanted, **found_as))
     parsed = F.struct(F.col("_checked._malformed").alias("_malformed"), F.col("_tokens").alias("tokens"), found.alias("elements"))
     kept = F.when(F.col("_checked").isNotNull(), parsed)
     return cut.select(*docs.columns, _parsed_once(kept).alias(name))
@@ -168,18 +171,20 @@ def filter_expressions(docs: DataFrame) -> DataFrame:
     A filter is any child of the filter block of a data access, of a source or a target.
     """
     some = docs.where(F.contains("content", F.lit("FilterExpressions")))
-    parsed = _with_elements(some.select(*_document_key(docs), "content"), "tf", [], "FilterExpressions")
-    blocks = F.filter("tf.elements", lambda e: (F.size(e["above"]) > 2) & (F.element_at(e["above"], -2)["name"] == "DataAccess"))
-    numbers = F.transform(blocks, lambda e: e["at"])
-    numbered = parsed.where(well_formed("tf")).select(*_document_key(docs), "tf", _parsed_once(numbers).alias("numbers"))
+    around = ["DataAccess", "FilterExpressions"]
+    parsed = _with_elements(some.select(*_document_key(docs), "content"), "tf", around, [], child_of="FilterExpressions")
 
-    def one(at: Column) -> Column:
-        token = F.get("tf.tokens", at)
-        return F.struct(xmltree.read([xmltree.with_text(token, "F")], FILTER_ELEMENT)["F"].alias("read"), xmltree.blank_text(token).alias("blank"))
+    def in_data_access(e: Column) -> Column:
+        access = F.try_element_at(e["above"], F.lit(-2))
+        return (access["name"] == "DataAccess") & (access["level"] == e["level"] - 2) & (access["level"] > 1)
 
-    read = F.transform("numbers", one)
+    numbers = F.transform(F.filter("tf.elements", in_data_access), lambda e: e["at"])
+    numbered = parsed.where(well_formed("tf")).select(*_document_key(docs), "tf", _parsed_once(numbers).alias("numbers"))
+    fragments = F.transform("numbers", lambda at: xmltree.fragment(xmltree.with_text(F.get("tf.tokens", at), "F")))
+    blanks = F.transform("numbers", lambda at: xmltree.blank_text(F.get("tf.tokens", at)))
+    read = F.arrays_zip(xmltree.read(fragments, FILTER_ELEMENT).alias("read"), blanks.alias("blank"))
     items = F.transform(
-        read, lambda r: F.struct(r["read"]["_language"].alias("_language"), F.coalesce(r["read"]["_text"], r["blank"]).alias("_text"))
+        read, lambda r: F.struct(r["read"]["F"]["_language"].alias("_language"), F.coalesce(r["read"]["F"]["_text"], r["blank"]).alias("_text"))
     )
     return numbered.where(F.size("numbers") > 0).select(*_document_key(docs), items.alias("filters"))
 
@@ -214,6 +219,11 @@ def _named(above: Column, i: Column) -> Column:
     return F.coalesce(F.get(above, i)["name"], F.lit(""))
 
 
+def _parent_is(above: Column, i: Column, name: str) -> Column:
+    """Whether the parent of the open element `i` is of that name."""
+    return (_named(above, i - 1) == name) & (F.get(above, i - 1)["level"] == F.get(above, i)["level"] - 1)
+
+
 def _places(above: Column) -> Column:
     """Numbers of the elements around one, from the root on."""
     return F.when(F.size(above) > 0, F.sequence(F.lit(0), F.size(above) - 1)).otherwise(F.array().cast("array<int>"))
@@ -225,13 +235,18 @@ _SECTIONS = {
     TARGET_EVENT: ("MapTarget", "RecordLayoutEvents"),
     MAP_EVENT: ("MapEvents",),
 }
+# the elements that say where another one stands
+_AROUND = [
+    "MapSources", "MapSource", "MapTargets", "MapTarget", "MapSchema", "RecordLayout", "RecordLayoutEvents", "MapEvents",
+    "Event", "Action", "Field",
+]
 
 
-def _parameters(section: str) -> Column:
-    """Parameters of all actions of all events, at any depth; an event or action without any adds nothing.
+def _parameter_places(section: str) -> Column:
+    """(event, action, parameter) of a section, in the order of the events, then of the actions.
 
-    A parameter within nested actions is listed for each of them, in the
-    order of the events, then of the actions.
+    Actions and parameters may stand at any depth; a parameter within nested
+    actions is listed for each of them.
     """
     around = _SECTIONS[section]
 
@@ -239,10 +254,9 @@ def _parameters(section: str) -> Column:
         above = e["above"]
 
         def is_event(i: Column) -> Column:
-            parents = [_named(above, i - len(around) + k) == name for k, name in enumerate(around)]
-            test = (_named(above, i) == "Event") & (i > len(around))
-            for parent in parents:
-                test = test & parent
+            test = (_named(above, i) == "Event") & (F.get(above, i)["level"] > len(around) + 1)
+            for n, name in enumerate(reversed(around)):
+                test = test & _parent_is(above, i - n, name)
             return test
 
         def of_event(i: Column) -> Column:
@@ -254,15 +268,21 @@ def _parameters(section: str) -> Column:
 
         return F.flatten(F.transform(F.filter(_places(above), is_event), of_event))
 
-    def read(place: Column) -> Column:
+    found = F.filter("map.elements", lambda e: e["name"] == "Parameter")
+    return F.sort_array(F.flatten(F.transform(found, of_parameter)))
+
+
+def _parameters(section: str, places: str) -> Column:
+    """Parameters of all actions of all events; an event or action without any adds nothing."""
+
+    def fragment(place: Column) -> Column:
         event, action, parameter = (F.get("map.tokens", place[kind]) for kind in ("event", "action", "parameter"))
-        fragments = [xmltree.alone(event, "Event"), xmltree.alone(action, "Action"), xmltree.with_text(parameter, "Parameter")]
-        return F.struct(xmltree.read(fragments, EVENT_ELEMENTS).alias("read"), xmltree.blank_text(parameter).alias("blank"))
+        return xmltree.fragment(xmltree.alone(event, "Event"), xmltree.alone(action, "Action"), xmltree.with_text(parameter, "Parameter"))
 
-    found = F.filter("map.elements", lambda e: e["name"] == "Parameter")
-    places = F.array_sort(F.flatten(F.transform(found, of_parameter)))
+    blanks = F.transform(places, lambda place: xmltree.blank_text(F.get("map.tokens", place["parameter"])))
+    read = xmltree.read(F.transform(places, fragment), EVENT_ELEMENTS)
     return F.transform(
-        F.transform(places, read),
+        F.arrays_zip(read.alias("read"), blanks.alias("blank")),
         lambda r: F.struct(
             F.lit(section).alias("event_source"),
             r["read"]["Event"]["_name"].alias("event_name"),
@@ -275,8 +295,14 @@ def _parameters(section: str) -> Column:
 
 def event_parameters(parsed: DataFrame, sections: tuple[str, ...] = tuple(_SECTIONS)) -> DataFrame:
     """A column of event rows for each section of every mapping document, in one pass."""
-    rows = [_parameters(section).alias(section) for section in sections]
-    return parsed.where(well_formed("map")).select(*_document_key(parsed), *rows)
+    located = _located(parsed, {section: _parameter_places(section) for section in sections})
+    return located.select(*_document_key(parsed), *[_parameters(section, f"_places.{section}").alias(section) for section in sections])
+
+
+def _located(parsed: DataFrame, places: dict[str, Column]) -> DataFrame:
+    """Well-formed mapping documents with `_places`, a struct of what was located in each; worked out once."""
+    found = F.struct(*[column.alias(name) for name, column in places.items()])
+    return parsed.where(well_formed("map")).select(*_document_key(parsed), "map", _parsed_once(found).alias("_places"))
 
 
 def document_events(
@@ -320,67 +346,46 @@ def map_events(registry: DataFrame, tf_docs: DataFrame, map_docs: DataFrame, run
 
 def _field_places(parent: str, child: str) -> Column:
     """(source, layout, field, datatype) for each field of each record layout of the first schema of each source."""
-    elements = F.col("map.elements")
-
-    def is_later_schema(source: Column, schema: Column) -> Column:
-        return F.exists(
-            elements,
-            lambda m: (m["name"] == "MapSchema") & (m["at"] < schema) & (F.try_element_at(m["above"], F.lit(-1))["at"] == source),
-        )
 
-    def datatype(e: Column, n: Column) -> Column:
-        # what stands in the field follows it, the data type usually at once
-        def inside(x: Column) -> Column:
-            return F.coalesce(F.get(x["above"], F.size(e["above"]))["at"] == e["at"], F.lit(False))
-
-        following = F.get(elements, n + 1)
-        later = F.filter(elements, lambda x: (x["name"] == "Datatype") & inside(x))
-        return (
-            F.when(inside(following) & (following["name"] == "Datatype"), following["at"])
-            .when(inside(following), F.get(later, F.lit(0))["at"])
-        )
-
-    def of_field(e: Column, n: Column) -> Column:
+    def of_field(e: Column) -> Column:
         above = e["above"]
 
         def is_source(i: Column) -> Column:
-            fits = (_named(above, i) == child) & (_named(above, i - 1) == parent) & (i > 1) & (_named(above, i + 1) == "MapSchema")
-            return fits & ~is_later_schema(F.get(above, i)["at"], F.get(above, i + 1)["at"])
+            fits = (_named(above, i) == child) & _parent_is(above, i, parent) & (F.get(above, i)["level"] > 2)
+            schema = F.get(above, i + 1)
+            return fits & (_named(above, i + 1) == "MapSchema") & (schema["level"] == F.get(above, i)["level"] + 1) & ~schema["later"]
 
         def of_source(i: Column) -> Column:
             layouts = F.filter(_places(above), lambda j: (j > i + 1) & (_named(above, j) == "RecordLayout"))
             return F.transform(
                 layouts,
                 lambda j: F.struct(
-                    F.get(above, i)["at"].alias("source"), F.get(above, j)["at"].alias("layout"), e["at"].alias("field"), datatype(e, n).alias("datatype")
+                    F.get(above, i)["at"].alias("source"), F.get(above, j)["at"].alias("layout"), e["at"].alias("field"), e["inner"].alias("datatype")
                 ),
             )
 
-        rows = F.flatten(F.transform(F.filter(_places(above), is_source), of_source))
-        return F.when(e["name"] == "Field", rows)
-
-    return F.array_sort(_joined(F.transform(elements, of_field)))
+        return F.flatten(F.transform(F.filter(_places(above), is_source), of_source))
 
-
-def _joined(lists: Column) -> Column:
-    return F.flatten(F.filter(lists, lambda found: found.isNotNull()))
+    found = F.filter("map.elements", lambda e: e["name"] == "Field")
+    return F.sort_array(F.flatten(F.transform(found, of_field)))
 
 
 def _field_arrays(parsed: DataFrame, sides: dict[str, tuple[str, str]]) -> DataFrame:
     """A column of field structs for each side of every mapping document, in one pass."""
 
-    def read(place: Column) -> Column:
+    def fragment(place: Column) -> Column:
         field, datatype = F.get("map.tokens", place["field"]), F.get("map.tokens", place["datatype"])
-        kind = F.coalesce(xmltree.alone(datatype, "Datatype"), F.lit(""))
-        return xmltree.read([xmltree.alone(field, "Field"), kind], FIELD_ELEMENTS)
+        return xmltree.fragment(xmltree.alone(field, "Field"), F.coalesce(xmltree.alone(datatype, "Datatype"), F.lit("")))
 
+    located = _located(parsed, {side: _field_places(*names) for side, names in sides.items()})
     columns = []
-    for side, (parent, child) in sides.items():
-        rows = F.transform(F.transform(_field_places(parent, child), read), lambda r: F.struct(
+    for side in sides:
+        read = xmltree.read(F.transform(f"_places.{side}", fragment), FIELD_ELEMENTS)
+        rows = F.transform(read, lambda r: F.struct(
             r["Field"]["_name"].alias("field_name"), r["Datatype"]["_dataalias"].alias("data_type"), r["Datatype"]["_datalength"].alias("data_length")
         ))
         columns.append(rows.alias(side))
-    return parsed.where(well_formed("map")).select(*_document_key(parsed), *columns)
+    return located.select(*_document_key(parsed), *columns)
 
 
 SIDES = {"source": ("MapSources", "MapSource"), "target": ("MapTargets", "MapTarget")}

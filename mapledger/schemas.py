@@ -175,7 +175,7 @@ TF_DOCUMENT = f"""
 WELL_FORMED = "_none STRING, _malformed STRING"
 
 # Fragments of one element each (operators/xmltree.py)
-FILTER_ELEMENT = "F STRUCT<_language: STRING, _text: STRING>"
+FILTER_ELEMENT = "F: STRUCT<_language: STRING, _text: STRING>"
 EVENT_ELEMENTS = """
-    Event STRUCT<_name: STRING>, Action STRUCT<_name: STRING>, Parameter STRUCT<_name: STRING, _text: STRING>"""
-FIELD_ELEMENTS = "Field STRUCT<_name: STRING>, Datatype STRUCT<_dataalias: STRING, _datalength: STRING>"
+    Event: STRUCT<_name: STRING>, Action: STRUCT<_name: STRING>, Parameter: STRUCT<_name: STRING, _text: STRING>"""
+FIELD_ELEMENTS = "Field: STRUCT<_name: STRING>, Datatype: STRUCT<_dataalias: STRING, _datalength: STRING>"
