@@ -6,10 +6,12 @@ is one narrow row per document. Repeated blocks unfold after the join.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mapledger.operators import xmltree
+from mapledger.operators import nesting, xmltree
 from mapledger.operators.history import ord_column
 from mapledger.schemas import (
     EVENT_COLUMNS,
@@ -43,22 +45,20 @@ def parse_tf(docs: DataFrame) -> DataFrame:
 
 
 def parse_map(docs: DataFrame) -> DataFrame:
-    """Add `map`: what is malformed, the tags of the mapping document, and its elements of interest with those around them."""
-    return _with_elements(docs, "map", _AROUND, ["Parameter", "Field"], once="MapSchema", inner=("Field", "Datatype"))
+    """Add `map`: what is malformed, the tags of the mapping document, and the places of its parameters and fields."""
+    return _with_places(docs, "map", nesting.MAP_ROLES, nesting.map_places, nesting.MAP_PLACES)
 
 
-def _with_elements(docs: DataFrame, name: str, around: list[str], wanted: list[str], **found_as) -> DataFrame:
+def _with_places(docs: DataFrame, name: str, roles: list[str], locate: Callable, places: str) -> DataFrame:
     checked = F.from_xml("content", WELL_FORMED, XML_OPTIONS)
     cut = docs.select("*", _parsed_once(F.struct(checked.alias("checked"), xmltree.tokens("content").alias("tokens"))).alias("_cut"))
     cut = cut.withColumns({"_tokens": F.col("_cut.tokens"), "_checked": F.col("_cut.checked")})
     sound = F.col("_checked").isNotNull() & F.col("_checked._malformed").isNull()
-    # any child may be wanted, whatever its name
-    named = None if "child_of" in found_as else [*around, *wanted, *found_as.get("inner", ())]
-    cut = cut.select(*docs.columns, "_tokens", "_checked", _parsed_once(F.when(sound, xmltree.marks("_tokens", named))).alias("_marks"))
-    found = F.when(sound, xmltree.elements("_marks", around, wanted, **found_as))
-    parsed = F.struct(F.col("_checked._malformed").alias("_malformed"), F.col("_tokens").alias("tokens"), found.alias("elements"))
-    kept = F.when(F.col("_checked").isNotNull(), parsed)
-    return cut.select(*docs.columns, _parsed_once(kept).alias(name))
+    marks = _parsed_once(F.when(sound, xmltree.marks("_tokens", roles)).otherwise(F.array().cast("array<int>")))
+    cut = cut.select(*docs.columns, "_tokens", "_checked", marks.alias("_marks"))
+    located = F.arrow_udf(locate, places)
+    parsed = F.struct(F.col("_checked._malformed").alias("_malformed"), F.col("_tokens").alias("tokens"), located("_marks").alias("places"))
+    return cut.select(*docs.columns, F.when(F.col("_checked").isNotNull(), parsed).alias(name))
 
 
 def _parsed_once(parsed: Column, wanted: Column | None = None) -> Column:
@@ -171,15 +171,8 @@ def filter_expressions(docs: DataFrame) -> DataFrame:
     A filter is any child of the filter block of a data access, of a source or a target.
     """
     some = docs.where(F.contains("content", F.lit("FilterExpressions")))
-    around = ["DataAccess", "FilterExpressions"]
-    parsed = _with_elements(some.select(*_document_key(docs), "content"), "tf", around, [], child_of="FilterExpressions")
-
-    def in_data_access(e: Column) -> Column:
-        access = F.try_element_at(e["above"], F.lit(-2))
-        return (access["name"] == "DataAccess") & (access["level"] == e["level"] - 2) & (access["level"] > 1)
-
-    numbers = F.transform(F.filter("tf.elements", in_data_access), lambda e: e["at"])
-    numbered = parsed.where(well_formed("tf")).select(*_document_key(docs), "tf", _parsed_once(numbers).alias("numbers"))
+    parsed = _with_places(some.select(*_document_key(docs), "content"), "tf", nesting.TF_ROLES, nesting.filter_places, nesting.TF_PLACES)
+    numbered = parsed.where(well_formed("tf")).select(*_document_key(docs), "tf", F.col("tf.places").alias("numbers"))
     fragments = F.transform("numbers", lambda at: xmltree.fragment(xmltree.with_text(F.get("tf.tokens", at), "F")))
     blanks = F.transform("numbers", lambda at: xmltree.blank_text(F.get("tf.tokens", at)))
     read = F.arrays_zip(xmltree.read(fragments, FILTER_ELEMENT).alias("read"), blanks.alias("blank"))
@@ -215,98 +208,53 @@ def attach_filters(registry: DataFrame, filters: DataFrame, run_id: int) -> Data
 # --- mapping document -----------------------------------------------------
 
 
-def _named(above: Column, i: Column) -> Column:
-    return F.coalesce(F.get(above, i)["name"], F.lit(""))
-
-
-def _parent_is(above: Column, i: Column, name: str) -> Column:
-    """Whether the parent of the open element `i` is of that name."""
-    return (_named(above, i - 1) == name) & (F.get(above, i - 1)["level"] == F.get(above, i)["level"] - 1)
-
-
-def _places(above: Column) -> Column:
-    """Numbers of the elements around one, from the root on."""
-    return F.when(F.size(above) > 0, F.sequence(F.lit(0), F.size(above) - 1)).otherwise(F.array().cast("array<int>"))
-
-
-# the elements an event must stand in; a block is found at any depth below the root
-_SECTIONS = {
-    SOURCE_EVENT: ("MapSource", "RecordLayoutEvents"),
-    TARGET_EVENT: ("MapTarget", "RecordLayoutEvents"),
-    MAP_EVENT: ("MapEvents",),
-}
-# the elements that say where another one stands
-_AROUND = [
-    "MapSources", "MapSource", "MapTargets", "MapTarget", "MapSchema", "RecordLayout", "RecordLayoutEvents", "MapEvents",
-    "Event", "Action", "Field",
-]
-
-
-def _parameter_places(section: str) -> Column:
-    """(event, action, parameter) of a section, in the order of the events, then of the actions.
-
-    Actions and parameters may stand at any depth; a parameter within nested
-    actions is listed for each of them.
-    """
-    around = _SECTIONS[section]
-
-    def of_parameter(e: Column) -> Column:
-        above = e["above"]
-
-        def is_event(i: Column) -> Column:
-            test = (_named(above, i) == "Event") & (F.get(above, i)["level"] > len(around) + 1)
-            for n, name in enumerate(reversed(around)):
-                test = test & _parent_is(above, i - n, name)
-            return test
+# the sections an event may stand in, by their numbers in the places
+_SECTIONS = (SOURCE_EVENT, TARGET_EVENT, MAP_EVENT)
 
-        def of_event(i: Column) -> Column:
-            actions = F.filter(_places(above), lambda j: (j > i) & (_named(above, j) == "Action"))
-            return F.transform(
-                actions,
-                lambda j: F.struct(F.get(above, i)["at"].alias("event"), F.get(above, j)["at"].alias("action"), e["at"].alias("parameter")),
-            )
 
-        return F.flatten(F.transform(F.filter(_places(above), is_event), of_event))
-
-    found = F.filter("map.elements", lambda e: e["name"] == "Parameter")
-    return F.sort_array(F.flatten(F.transform(found, of_parameter)))
-
-
-def _parameters(section: str, places: str) -> Column:
+def _parameters(places: Column) -> Column:
     """Parameters of all actions of all events; an event or action without any adds nothing."""
 
     def fragment(place: Column) -> Column:
         event, action, parameter = (F.get("map.tokens", place[kind]) for kind in ("event", "action", "parameter"))
         return xmltree.fragment(xmltree.alone(event, "Event"), xmltree.alone(action, "Action"), xmltree.with_text(parameter, "Parameter"))
 
-    blanks = F.transform(places, lambda place: xmltree.blank_text(F.get("map.tokens", place["parameter"])))
+    beside = F.transform(
+        places, lambda place: F.struct(place["section"].alias("section"), xmltree.blank_text(F.get("map.tokens", place["parameter"])).alias("blank"))
+    )
     read = xmltree.read(F.transform(places, fragment), EVENT_ELEMENTS)
+    names = F.array(*[F.lit(name) for name in _SECTIONS])
     return F.transform(
-        F.arrays_zip(read.alias("read"), blanks.alias("blank")),
+        F.arrays_zip(read.alias("read"), beside.alias("beside")),
         lambda r: F.struct(
-            F.lit(section).alias("event_source"),
+            F.get(names, r["beside"]["section"]).alias("event_source"),
             r["read"]["Event"]["_name"].alias("event_name"),
             r["read"]["Action"]["_name"].alias("action_name"),
             r["read"]["Parameter"]["_name"].alias("parameter_name"),
-            F.coalesce(r["read"]["Parameter"]["_text"], r["blank"]).alias("parameter_value"),
+            F.coalesce(r["read"]["Parameter"]["_text"], r["beside"]["blank"]).alias("parameter_value"),
         ),
     )
 
 
-def event_parameters(parsed: DataFrame, sections: tuple[str, ...] = tuple(_SECTIONS)) -> DataFrame:
-    """A column of event rows for each section of every mapping document, in one pass."""
-    located = _located(parsed, {section: _parameter_places(section) for section in sections})
-    return located.select(*_document_key(parsed), *[_parameters(section, f"_places.{section}").alias(section) for section in sections])
+def event_parameters(parsed: DataFrame, sections: tuple[str, ...] = _SECTIONS) -> DataFrame:
+    """A column of event rows for each section of every mapping document, in one pass; by event, then by action.
+
+    Actions and parameters may stand at any depth; a parameter within nested
+    actions is listed for each of them.
+    """
+    wanted = [_SECTIONS.index(section) for section in sections]
+    places = F.filter("map.places.parameters", lambda place: place["section"].isin(wanted))
+    read = parsed.where(well_formed("map")).select(*_document_key(parsed), _parsed_once(_parameters(places)).alias("_events"))
+    rows = [_of_section(section).alias(section) for section in sections]
+    return read.select(*_document_key(parsed), *rows)
 
 
-def _located(parsed: DataFrame, places: dict[str, Column]) -> DataFrame:
-    """Well-formed mapping documents with `_places`, a struct of what was located in each; worked out once."""
-    found = F.struct(*[column.alias(name) for name, column in places.items()])
-    return parsed.where(well_formed("map")).select(*_document_key(parsed), "map", _parsed_once(found).alias("_places"))
+def _of_section(section: str) -> Column:
+    return F.filter("_events", lambda e: e["event_source"] == section)
 
 
 def document_events(
-    registry: DataFrame, map_docs: DataFrame, sections: tuple[str, ...] = tuple(_SECTIONS), run_id: int = 0
+    registry: DataFrame, map_docs: DataFrame, sections: tuple[str, ...] = _SECTIONS, run_id: int = 0
 ) -> DataFrame:
     return attach_events(registry, event_parameters(parse_map(map_docs), sections), run_id)
 
@@ -344,51 +292,23 @@ def map_events(registry: DataFrame, tf_docs: DataFrame, map_docs: DataFrame, run
     return filter_events(registry, tf_docs, run_id).unionByName(document_events(registry, map_docs, run_id=run_id))
 
 
-def _field_places(parent: str, child: str) -> Column:
-    """(source, layout, field, datatype) for each field of each record layout of the first schema of each source."""
-
-    def of_field(e: Column) -> Column:
-        above = e["above"]
-
-        def is_source(i: Column) -> Column:
-            fits = (_named(above, i) == child) & _parent_is(above, i, parent) & (F.get(above, i)["level"] > 2)
-            schema = F.get(above, i + 1)
-            return fits & (_named(above, i + 1) == "MapSchema") & (schema["level"] == F.get(above, i)["level"] + 1) & ~schema["later"]
-
-        def of_source(i: Column) -> Column:
-            layouts = F.filter(_places(above), lambda j: (j > i + 1) & (_named(above, j) == "RecordLayout"))
-            return F.transform(
-                layouts,
-                lambda j: F.struct(
-                    F.get(above, i)["at"].alias("source"), F.get(above, j)["at"].alias("layout"), e["at"].alias("field"), e["inner"].alias("datatype")
-                ),
-            )
-
-        return F.flatten(F.transform(F.filter(_places(above), is_source), of_source))
-
-    found = F.filter("map.elements", lambda e: e["name"] == "Field")
-    return F.sort_array(F.flatten(F.transform(found, of_field)))
-
-
-def _field_arrays(parsed: DataFrame, sides: dict[str, tuple[str, str]]) -> DataFrame:
+def _field_arrays(parsed: DataFrame, sides: tuple[str, ...]) -> DataFrame:
     """A column of field structs for each side of every mapping document, in one pass."""
 
     def fragment(place: Column) -> Column:
         field, datatype = F.get("map.tokens", place["field"]), F.get("map.tokens", place["datatype"])
         return xmltree.fragment(xmltree.alone(field, "Field"), F.coalesce(xmltree.alone(datatype, "Datatype"), F.lit("")))
 
-    located = _located(parsed, {side: _field_places(*names) for side, names in sides.items()})
-    columns = []
-    for side in sides:
-        read = xmltree.read(F.transform(f"_places.{side}", fragment), FIELD_ELEMENTS)
-        rows = F.transform(read, lambda r: F.struct(
+    def rows(side: str) -> Column:
+        places = F.filter("map.places.fields", lambda place: place["side"] == SIDES.index(side))
+        return F.transform(xmltree.read(F.transform(places, fragment), FIELD_ELEMENTS), lambda r: F.struct(
             r["Field"]["_name"].alias("field_name"), r["Datatype"]["_dataalias"].alias("data_type"), r["Datatype"]["_datalength"].alias("data_length")
         ))
-        columns.append(rows.alias(side))
-    return located.select(*_document_key(parsed), *columns)
+
+    return parsed.where(well_formed("map")).select(*_document_key(parsed), *[rows(side).alias(side) for side in sides])
 
 
-SIDES = {"source": ("MapSources", "MapSource"), "target": ("MapTargets", "MapTarget")}
+SIDES = ("source", "target")
 
 
 def both_fields(docs: DataFrame) -> DataFrame:
@@ -414,7 +334,7 @@ def map_fields(registry: DataFrame, map_docs: DataFrame, run_id: int = 0) -> Dat
 
 
 def _fields(docs: DataFrame, side: str) -> DataFrame:
-    arrays = _field_arrays(parse_map(docs), {side: SIDES[side]})
+    arrays = _field_arrays(parse_map(docs), (side,))
     rows = arrays.select(*_document_key(docs), F.posexplode(side))
     return rows.select(*_document_key(docs), (F.col("pos") + 1).cast("bigint").alias("ordinal"), "col.*")
 

@@ -1,10 +1,9 @@
 """Elements of XML documents at any depth, with the elements around them.
 
 A schema can only name elements at a fixed depth. Here a document is cut into
-tags by a pattern; one fold over them numbers the elements by tag and level and
-keeps the open ones that matter. Only the wanted elements are noted, each with
-what is open around it. Attributes and texts are read by the XML parser, from
-small fragments, all those of a document at once.
+tags by a pattern, and the tags are numbered (operators/nesting.py), which says where
+the elements of interest stand. Attributes and texts are read by the XML
+parser, from small fragments, all those of a document at once.
 """
 
 from __future__ import annotations
@@ -12,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from mapledger.operators.nesting import STEPS
 from mapledger.schemas import XML_OPTIONS
 
 _ATTRIBUTES = """[^<>"']*+(?:(?:"[^"]*+"|'[^']*+')[^<>"']*+)*+"""
@@ -34,118 +34,22 @@ _SPACES = {
     "&#(?:0*32|[xX]0*20);": " ",
 }
 
-# what is open around a place: name, number of the tag, depth (the root has 1), whether a child that counts
-# once was met in it, whether it came behind another such one, and the first inner element noted for it
-_OPEN = "ARRAY<STRUCT<name: STRING, at: INT, level: INT, met: BOOLEAN, later: BOOLEAN, inner: INT>>"
-_FOUND = f"ARRAY<STRUCT<name: STRING, at: INT, level: INT, inner: INT, above: {_OPEN}>>"
-_STATE = f"STRUCT<depth: INT, open: {_OPEN}, found: {_FOUND}, parts: ARRAY<{_FOUND}>>"
-# tags folded together; what they add is put aside, so that no list is copied that grows with the document
-_PART = 128
-
-
 def tokens(content: Column | str) -> Column:
     """Tags of a document, each with the text behind it."""
     return F.regexp_extract_all(content, F.lit(_TOKEN), F.lit(0))
 
 
-def marks(tokens: str, named: list[str] | None = None) -> Column:
-    """Name, step (1 opens, -1 closes, 0 is empty) and number of each tag; empty ones of other names are left out."""
+def marks(tokens: str, roles: list[str]) -> Column:
+    """Each tag as one number: what its name's place among the roles is, and whether it opens, closes or is empty; else null."""
 
-    def mark(token: Column, at: Column) -> Column:
-        step = F.when(F.startswith(token, F.lit("</")), -1).when(F.rlike(token, F.lit(_EMPTY_TAG)), 0).otherwise(1)
+    def mark(token: Column) -> Column:
+        is_empty = F.contains(token, F.lit("/>")) & F.rlike(token, F.lit(_EMPTY_TAG))
+        step = F.when(F.startswith(token, F.lit("</")), 0).when(is_empty, 1).otherwise(2)
         aside = F.startswith(token, F.lit("<!")) | F.startswith(token, F.lit("<?"))
-        name = F.regexp_extract(token, f"^</?({_NAME})", 1)
-        return F.when(~aside, F.struct(name.alias("name"), step.alias("step"), at.alias("at")))
-
-    def needed(one: Column) -> Column:
-        return one.isNotNull() if named is None else one.isNotNull() & ((one["step"] != 0) | one["name"].isin(named))
-
-    return F.filter(F.transform(tokens, mark), needed)
-
-
-def elements(
-    marks: str, around: list[str], wanted: list[str], child_of: str | None = None, once: str | None = None, inner: tuple[str, str] | None = None
-) -> Column:
-    """Wanted elements: name, number of their tag, level, `inner`, and `above`, the elements `around` that are open, from the root on.
-
-    Every element has its tag's number and its level, so a parent is the open
-    element one level up. Wanted are elements of these names, and any child of
-    an element `child_of`. In `above`, an element of the name `once` is
-    `later` if its parent has another one before it. With `inner` (outer,
-    name), an outer element is noted where it ends, with the first element of
-    that name within it. The document is folded in parts, in time
-    proportional to its tags.
-    """
-    noted_at_end = inner[0] if inner else None
-
-    def step(state: Column, mark: Column) -> Column:
-        name, at, opened = mark["name"], mark["at"], state["open"]
-        nearest = F.try_element_at(opened, F.lit(-1))
-        level = state["depth"] + 1
-        has_parent = F.coalesce(nearest["level"] == state["depth"], F.lit(False))
-        shorter = F.slice(opened, F.lit(1), F.size(opened) - 1)
-
-        def entry(e: Column, **changed: Column) -> Column:
-            return F.struct(*[changed.get(k, e[k]).alias(k) for k in ("name", "at", "level", "met", "later", "inner")])
-
-        later = F.lit(False)
-        if once:
-            later = (name == once) & has_parent & nearest["met"]
-            meets = (name == once) & has_parent
-            opened = F.when(meets, F.array_append(shorter, entry(nearest, met=F.lit(True)))).otherwise(opened)
-        if inner:
-            first = F.transform(
-                opened, lambda e: entry(e, inner=F.when((e["name"] == inner[0]) & e["inner"].isNull(), at).otherwise(e["inner"]))
-            )
-            opened = F.when(name == inner[1], first).otherwise(opened)
-        own = F.struct(
-            name.alias("name"), at.alias("at"), level.alias("level"), F.lit(False).alias("met"), later.alias("later"),
-            F.lit(None).cast("int").alias("inner"),
-        )
-        kept = (mark["step"] == 1) & name.isin(around)
-        is_wanted = name.isin(wanted)
-        if noted_at_end:
-            is_wanted = is_wanted & ((mark["step"] == 0) | (name != noted_at_end))
-        if child_of:
-            is_wanted = is_wanted | (has_parent & (nearest["name"] == child_of))
-
-        def noted(of: Column, above: Column) -> Column:
-            one = F.struct(of["name"].alias("name"), of["at"].alias("at"), of["level"].alias("level"), of["inner"].alias("inner"), above.alias("above"))
-            return F.array_append(state["found"], one)
-
-        def after(depth: Column, opened: Column, found: Column) -> Column:
-            return F.struct(depth.alias("depth"), opened.alias("open"), found.alias("found"), state["parts"].alias("parts"))
-
-        opening = after(
-            state["depth"] + mark["step"],
-            F.when(kept, F.array_append(opened, own)).otherwise(opened),
-            F.when(is_wanted, noted(own, state["open"])).otherwise(state["found"]),
-        )
-        ended = F.lit(False) if noted_at_end is None else (name == noted_at_end) & (name == nearest["name"])
-        closing = after(
-            state["depth"] - 1,
-            F.when(name.isin(around), shorter).otherwise(state["open"]),
-            F.when(ended, noted(nearest, shorter)).otherwise(state["found"]),
-        )
-        return F.when(mark["step"] < 0, closing).otherwise(opening)
-
-    def put_aside(state: Column) -> Column:
-        return F.struct(
-            state["depth"].alias("depth"), state["open"].alias("open"), F.array().cast(_FOUND).alias("found"),
-            F.when(F.size(state["found"]) > 0, F.array_append(state["parts"], state["found"])).otherwise(state["parts"]).alias("parts"),
-        )
-
-    def fold(state: Column, part: Column) -> Column:
-        places = F.sequence(part * _PART, F.least(part * _PART + _PART, F.size(marks)) - 1)
-        return F.aggregate(places, state, lambda inside, at: step(inside, F.get(marks, at)), put_aside)
-
-    begin = F.struct(
-        F.lit(0).alias("depth"), F.array().cast(_OPEN).alias("open"), F.array().cast(_FOUND).alias("found"),
-        F.array().cast(f"ARRAY<{_FOUND}>").alias("parts"),
-    ).cast(_STATE)
-    parts = F.when(F.size(marks) > 0, F.sequence(F.lit(0), F.floor((F.size(marks) - 1) / _PART).cast("int")))
-    folded = F.aggregate(F.coalesce(parts, F.array().cast("array<int>")), begin, fold, lambda state: state["parts"])
-    return F.flatten(folded)
+        role = F.array_position(F.array(*[F.lit(name) for name in roles]), F.regexp_extract(token, f"^</?({_NAME})", 1))
+        return F.when(~aside, (role * STEPS + step).cast("int"))
+
+    return F.transform(tokens, mark)
 
 
 def _tag(token: Column) -> Column:
