@@ -357,6 +357,26 @@ STATEMENTS = {
         SELECT 'tf' AS kind, tf_path AS path, CASE sta WHEN 'F' THEN 'malformed' ELSE 'unreadable' END AS problem
         FROM {registry} WHERE sta <> 'O'
         UNION ALL SELECT 'map', map_path, 'missing' FROM {registry} WHERE NOT has_file""",
+    "unread_elements": r"""
+        SELECT 'tf' AS kind, concat('Y:\maps\c', o_custkey, '\order_', o_orderkey, '.tf.xml') AS path, 'TransformationSource' AS element,
+               CAST(2 AS BIGINT) AS in_text, CAST(0 AS BIGINT) AS read
+        FROM orders WHERE o_orderstatus = 'O'
+        UNION ALL
+        SELECT 'map', concat('Y:\maps\c', o_custkey, '\order_', o_orderkey, '.map.xml'),
+               CASE o_orderstatus WHEN 'F' THEN 'Parameter' ELSE 'Field' END, CASE o_orderstatus WHEN 'F' THEN 2 ELSE 3 END, 1
+        FROM orders WHERE o_orderstatus <> 'O'""",
+    "document_layouts": r"""
+        SELECT CASE o_orderstatus WHEN 'O' THEN 'tf' ELSE 'map' END AS kind,
+               concat('Y:\maps\c', o_custkey, '\order_', o_orderkey, CASE o_orderstatus WHEN 'O' THEN '.tf.xml' ELSE '.map.xml' END) AS path,
+               'layout' AS problem
+        FROM orders""",
+    "nested_events": r"""
+        SELECT concat('Y:\maps\c', o_custkey, '\order_', o_orderkey, '.map.xml') AS path, place, 'Map' AS event_source,
+               CASE o_orderstatus WHEN 'O' THEN o_orderpriority ELSE 'e' END AS event_name, action_name, parameter_name,
+               CASE WHEN o_orderstatus = 'F' THEN CAST(o_custkey AS VARCHAR)
+                    WHEN place = 0 THEN CAST(o_orderkey AS VARCHAR) ELSE '<O' END AS parameter_value
+        FROM orders JOIN (VALUES ('O', 0, 'outer', 'p'), ('O', 1, 'outer', 'q'), ('O', 2, 'inner', 'q'), ('F', 0, 'a', 'p'))
+             AS rows(status, place, action_name, parameter_name) ON o_orderstatus = status""",
     "overlong_values": """
         SELECT map_folder, event_name,
                concat_ws(',', CASE WHEN length(map_folder) > 5 THEN 'map_folder' END, 'event_name') AS overlong

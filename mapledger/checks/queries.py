@@ -174,6 +174,22 @@ def document_errors(i: Inputs) -> DataFrame:
     return xmlmeta.document_errors(i.maps(), i.broken_tf_docs(), few_siblings)
 
 
+@query
+def unread_elements(i: Inputs) -> DataFrame:
+    return xmlmeta.unread_elements(i.layout_tf_docs(), i.layout_map_docs())
+
+
+@query
+def document_layouts(i: Inputs) -> DataFrame:
+    return xmlmeta.document_errors(i.maps(), i.layout_tf_docs(), i.layout_map_docs())
+
+
+@query
+def nested_events(i: Inputs) -> DataFrame:
+    found = xmlmeta.event_parameters(xmlmeta.parse_map(i.layout_map_docs()), ("Map",))
+    return found.select("path", F.posexplode("Map")).select("path", F.col("pos").alias("place"), "col.*")
+
+
 @query
 def overlong_values(i: Inputs) -> DataFrame:
     narrow = {**EVENT_WIDTHS, "event_name": 6, "map_folder": 5}

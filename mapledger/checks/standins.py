@@ -181,6 +181,38 @@ class Inputs:
         text = F.when(status == "F", F.concat(F.lit("<Outer>"), good)).when(status == "O", good)
         return self._order_documents(".tf.xml", text)
 
+    def layout_tf_docs(self) -> DataFrame:
+        """The sources of open orders stand in a wrapper; a comment and CDATA name elements that are none."""
+        sources = F.format_string(
+            '<TransformationSources><TransformationSource connectorname="%s"/><!-- <TransformationSource/> -->'
+            "<TransformationSource><![CDATA[<TransformationTarget>]]></TransformationSource></TransformationSources>",
+            "o_orderpriority",
+        )
+        wrapped = F.concat(F.lit("<Extra>"), sources, F.lit("</Extra>"))
+        content = F.when(F.col("o_orderstatus") == "O", wrapped).otherwise(sources)
+        return self._order_documents(".tf.xml", F.concat(F.lit("<Transformation>"), content, F.lit("</Transformation>")))
+
+    def layout_map_docs(self) -> DataFrame:
+        """Nested actions in a wrapper, a parameter outside of any event, or a second schema of one source."""
+        nested = F.format_string(
+            '<MapEvents><Event name="%s"><Wrap><Action name="outer"><Parameter name="p">%d</Parameter><Action name="inner">'
+            '<Parameter name="q">&lt;%s</Parameter></Action></Action></Wrap></Event></MapEvents>',
+            "o_orderpriority", "o_orderkey", "o_orderstatus",
+        )
+        stray = F.format_string(
+            '<MapEvents><Parameter name="stray"/><Event name="e"><Action name="a"><Parameter name="p">%d</Parameter></Action></Event>'
+            "<!-- <Parameter/> --></MapEvents>",
+            "o_custkey",
+        )
+        later = F.format_string(
+            '<MapSources><MapSource><MapSchema><RecordLayout><Field name="%s"/></RecordLayout></MapSchema>'
+            '<MapSchema><RecordLayout><Field name="late"/><Field name="later"/></RecordLayout></MapSchema></MapSource></MapSources>',
+            "o_orderpriority",
+        )
+        status = F.col("o_orderstatus")
+        content = F.when(status == "O", nested).when(status == "F", stray).otherwise(later)
+        return self._order_documents(".map.xml", F.concat(F.lit("<Map>"), content, F.lit("</Map>")))
+
     def text_docs(self) -> DataFrame:
         """Mapping documents that hold the whole of each text, a parameter for each line."""
         text = F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))

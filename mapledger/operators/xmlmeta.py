@@ -352,20 +352,46 @@ def target_fields(map_docs: DataFrame) -> DataFrame:
 # --- quarantine -----------------------------------------------------------
 
 
+def unread_elements(tf_docs: DataFrame, map_docs: DataFrame) -> DataFrame:
+    """What well-formed documents hold and the extraction leaves out: `in_text` elements of a name, and those `read`.
+
+    Two independent counts for each document: opened tags in the text, and
+    the elements that the rows were made of. They differ where a section
+    stands elsewhere than expected, say in a wrapper.
+    """
+    return _parsed_documents(tf_docs, map_docs).where("problem IS NULL").select(
+        "kind", "path", F.inline("counts")
+    ).where("in_text <> read")
+
+
+def _parsed_documents(tf_docs: DataFrame, map_docs: DataFrame) -> DataFrame:
+    """(kind, path, problem, counts) of every document, each parsed once."""
+
+    def checked(kind: str, parsed: DataFrame, read: dict[str, Column]) -> DataFrame:
+        found = [
+            F.struct(
+                F.lit(name).alias("element"), xmltree.count_tags("content", name).alias("in_text"),
+                F.coalesce(column, F.lit(0)).cast("bigint").alias("read"),
+            )
+            for name, column in read.items()
+        ]
+        problem = F.when(F.col("content").isNull(), "unreadable").when(F.col(f"{kind}._malformed").isNotNull(), "malformed")
+        return parsed.select(F.lit(kind).alias("kind"), "path", problem.alias("problem"), F.array(*found).alias("counts"))
+
+    tf, mapping = parse_tf(tf_docs), parse_map(map_docs)
+    sections = {"TransformationSource": F.size(_sources("tf")), "TransformationTarget": F.size(_targets("tf"))}
+    places = {"Parameter": F.col("map.places.n_parameters"), "Field": F.col("map.places.n_fields")}
+    return checked("tf", tf, sections).unionByName(checked("map", mapping, places))
+
+
 def document_errors(registry: DataFrame, tf_docs: DataFrame, map_docs: DataFrame) -> DataFrame:
-    """Documents that cannot be read or parsed, and maps without the sibling document."""
-    bad = [
-        parse(docs).where(F.col("content").isNull() | F.col(f"{kind}._malformed").isNotNull()).select(
-            F.lit(kind).alias("kind"),
-            "path",
-            F.when(F.col("content").isNull(), "unreadable").otherwise("malformed").alias("problem"),
-        )
-        for kind, docs, parse in (("tf", tf_docs, parse_tf), ("map", map_docs, parse_map))
-    ]
+    """Documents that cannot be read or parsed, or not as a whole (`layout`), and maps without the sibling document."""
+    layout = F.when(F.exists("counts", lambda c: c["in_text"] != c["read"]), "layout")
+    bad = _parsed_documents(tf_docs, map_docs).select("kind", "path", F.coalesce("problem", layout).alias("problem"))
     siblings = registry.join(tf_docs.select(F.col("path").alias("tf_path")), "tf_path", "left_semi")
     absent = siblings.join(map_docs.select(F.col("path").alias("map_path")), "map_path", "left_anti")
     absent = absent.select(F.lit("map").alias("kind"), F.col("map_path").alias("path"), F.lit("missing").alias("problem"))
-    return bad[0].unionByName(bad[1]).unionByName(absent.distinct())
+    return bad.where(F.col("problem").isNotNull()).unionByName(absent.distinct())
 
 
 # --- registry join --------------------------------------------------------

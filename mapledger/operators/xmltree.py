@@ -52,6 +52,12 @@ def marks(tokens: str, roles: list[str]) -> Column:
     return F.transform(tokens, mark)
 
 
+def count_tags(content: Column | str, name: str) -> Column:
+    """How many elements of that name a document's text opens, comments and CDATA aside; independent of any extraction."""
+    plain = F.regexp_replace(content, f"(?s){_CDATA}|{_ASIDE}", "")
+    return F.regexp_count(plain, F.lit(f"<{name}(?=[\\s/>])")).cast("bigint")
+
+
 def _tag(token: Column) -> Column:
     return F.regexp_extract(token, f"(?s)^{_TAG}", 0)
 

@@ -27,7 +27,9 @@ def test_query(spark, connection, name):
     df = QUERIES[name](spark, TESTDATA)
     assert difference(df, connection, SQL[name]) is None
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    # the one step in Python numbers the tags of XML documents, in Arrow batches
+    assert all("_places(" in line for line in plan.splitlines() if "Python" in line)
 
 
 def test_entry(spark):
