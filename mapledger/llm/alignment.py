@@ -27,9 +27,9 @@ from mapledger.llm.token_counts import byte_characters
 from mapledger.session import stage
 
 # bytes of text in one block of documents
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 3 << 20
 # words remembered by a task; beyond, they are forgotten and aligned anew
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 # words aligned at once
 _BATCH = 20_000
 # words encoded as one text
