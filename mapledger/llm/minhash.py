@@ -23,8 +23,12 @@ SKETCH_WORDS = 16  # odd sketch of 1,024 bits
 # a candidate's estimate may lie so many standard errors below the threshold: one
 # link in ten thousand at the very threshold is missed
 SLACK = 3.72
-# nearest candidates of a text that are confirmed before all others
-NEAREST = 4
+# nearest candidates of a text that are confirmed before all others, out of about so many of a bucket
+NEAREST, LOOKED_AT = 4, 64
+# parity bitmap of a whole shingle set, 2,048 bits, and standard errors up to which it keeps a pair:
+# one link in three million at the very threshold is missed, none of sets with few differences
+PARITY_WORDS = 32
+PARITY_SLACK = 5.0
 
 _REMEMBERED = 500_000
 _SIGNATURES = (
@@ -153,9 +157,51 @@ def flip_bound(similarity: float, samples: int, bits: int, slack: float = SLACK)
     return int(np.ceil(bits / 2 * (1 - kept) + slack * np.sqrt(spread)))
 
 
+def with_parity(texts: DataFrame, width: int = WIDTH) -> DataFrame:
+    """node, text, size of the shingle set and a parity bitmap of all its members.
+
+    The set is told exactly by its differences: two bitmaps differ in at most
+    as many bits as the sets differ in members.
+    """
+    bits = 64 * PARITY_WORDS
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _WordHashes()
+        for batch in slices(batches, "text"):
+            if len(hashes) > _REMEMBERED:
+                hashes.clear()
+            sizes, bitmaps = [], []
+            for text in batch.column("text").cast(pa.binary()).to_pylist():
+                shingles = shingle_set(text.lower().split(), hashes, width)
+                places = (_mix(shingles) >> np.uint64(7)).astype(np.int64) % bits
+                odd = (np.bincount(places, minlength=bits) & 1).astype(np.uint8)
+                sizes.append(len(shingles))
+                bitmaps.append(np.packbits(odd, bitorder="little").view(np.int64))
+            arrays = [pa.array(sizes, pa.int64()), pa.array(bitmaps, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("text"), *arrays], ["node", "text", "size", "parity"]
+            )
+
+    return texts.select("node", "text").mapInArrow(marked, "node BINARY, text STRING, size BIGINT, parity ARRAY<BIGINT>")
+
+
+def _may_link(percent: int) -> Column:
+    """Whether the parity bitmaps of the sets of `a_` and `b_` leave a link possible.
+
+    Linked sets of together s members differ in at most
+    s * (100 - percent) / (100 + percent); d differences leave d bits set at
+    most, and about bits / 2 * (1 - (1 - 2 / bits)^d).
+    """
+    bits = 64.0 * PARITY_WORDS
+    differing = F.floor((F.col("a_size") + F.col("b_size")) * F.lit(100 - percent) / F.lit(100 + percent))
+    odd = (F.lit(1.0) - F.pow(F.lit(1 - 2 / bits), differing)) / 2
+    most = odd * bits + F.sqrt(odd * (F.lit(1.0) - odd) * bits) * PARITY_SLACK
+    return _flipped("a_parity", "b_parity", PARITY_WORDS) <= F.least(differing.cast("double"), most)
+
+
 def _open_members(buckets: DataFrame, linked: DataFrame, distinct: DataFrame) -> DataFrame:
     """Members of the buckets that hold several components, with the largest one of the bucket."""
-    members = buckets.select("band", "i", "node").join(linked, "node", "left").withColumn(
+    members = buckets.select("band", "i", "n", "node").join(linked, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
     sizes = members.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
@@ -166,8 +212,8 @@ def _open_members(buckets: DataFrame, linked: DataFrame, distinct: DataFrame) ->
 
 
 def _side(members: DataFrame, prefix: str) -> DataFrame:
-    names = ["node", "component", "sketch", "bands"]
-    return members.select("band", "i", "largest", *[F.col(name).alias(prefix + name) for name in names])
+    names = ["node", "component", "sketch", "bands", "size", "parity"]
+    return members.select("band", "i", "n", "largest", *[F.col(name).alias(prefix + name) for name in names])
 
 
 def _is_first_shared_band() -> Column:
@@ -176,31 +222,40 @@ def _is_first_shared_band() -> Column:
     return F.array_position(same, F.lit(True)) == F.col("i") + 1
 
 
-def _nearest_pairs(members: DataFrame, limit: int, sketch_words: int) -> DataFrame:
-    """Pairs of different components that look like links, a few for each node."""
-    a, b = _side(members, "a_"), _side(members, "b_").drop("i", "largest")
+def _nearest_pairs(members: DataFrame, limit: int, percent: int, sketch_words: int) -> DataFrame:
+    """Pairs of different components that look like links, a few for each node.
+
+    Each member is held against about LOOKED_AT members of its bucket, dealt by
+    hash: this merges what has many links, and the work stays in proportion to
+    the bucket. Links that it doesn't see are left to `_remaining_pairs`.
+    """
+    a = _side(members, "a_").drop("n")
+    b = _side(members, "b_").where(F.pmod(F.xxhash64("b_node", "band"), "n") < LOOKED_AT).drop("i", "n", "largest")
     flips = _flipped("a_sketch", "b_sketch", sketch_words)
     pairs = a.join(b, "band").where(
-        (F.col("a_node") < F.col("b_node")) & (F.col("a_component") != F.col("b_component")) & (flips <= limit) & _is_first_shared_band()
+        (F.col("a_component") != F.col("b_component")) & (flips <= limit) & _is_first_shared_band() & _may_link(percent)
     )
     pairs = pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), flips.alias("flips"))
     rank = F.row_number().over(Window.partitionBy("a").orderBy("flips", "b"))
-    return pairs.withColumn("rank", rank).where(F.col("rank") <= NEAREST).select("a", "b")
+    nearest = pairs.withColumn("rank", rank).where(F.col("rank") <= NEAREST)
+    return nearest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _remaining_pairs(members: DataFrame, limit: int, sketch_words: int) -> DataFrame:
-    """All pairs of different components whose sketches don't rule a link out.
+def _remaining_pairs(members: DataFrame, limit: int, percent: int, sketch_words: int) -> DataFrame:
+    """All pairs of different components whose sketches and bitmaps don't rule a link out.
 
     By now most members of a large bucket are in one component; only the
-    others are compared, with all members: the work is (others x bucket).
+    others are compared, with all members: the work is (others x bucket), and
+    only what the bitmaps of whole sets leave possible becomes a pair.
     """
-    others = _side(members.where(F.col("component") != F.col("largest")), "a_")
-    b = _side(members, "b_").drop("i", "largest")
+    others = _side(members.where(F.col("component") != F.col("largest")), "a_").drop("n")
+    b = _side(members, "b_").drop("i", "n", "largest")
     pairs = others.join(b, "band").where(
         (F.col("a_component") != F.col("b_component"))
         & ((F.col("b_component") == F.col("largest")) | (F.col("a_node") < F.col("b_node")))
         & (_flipped("a_sketch", "b_sketch", sketch_words) <= limit)
         & _is_first_shared_band()
+        & _may_link(percent)
     )
     # the largest component differs by bucket, so a pair may come from either side
     ends = F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")
@@ -247,10 +302,12 @@ def link_near_duplicates(
     that share a band are candidates. First each bucket compares all members
     with its pivot, the member that shares most buckets (among edited copies
     of one text, that text). Then, in buckets that still hold several
-    components, each text is compared with those nearest by their sketches.
+    components, each text is compared with the nearest of some members.
     At last all pairs there that lie in different components and may be links
-    are compared. So no link between components is missed, and in a large
-    group of copies most pairs need no comparison.
+    are compared. A pair may be a link if neither the sketches of the samples
+    nor bitmaps of the whole sets rule it out; the latter are made once for
+    each text with a candidate. So no link between components is missed, and
+    in a large group of copies most pairs need no comparison.
     """
     signed = stage(signatures(documents, bands, rows, sketch_words, width), "signatures")
     samples, bits = bands * rows, 64 * sketch_words
@@ -282,13 +339,14 @@ def link_near_duplicates(
         "node", F.col("row.doc_id").alias("wanted_id"), F.col("row.text_hash").alias("text_hash")
     )
     texts = _rows(documents).join(wanted, "text_hash").where(F.col("doc_id").eqNullSafe(F.col("wanted_id")))
-    sets = stage(texts.select("node", "text").dropDuplicates(["node"]), "candidates")
+    sets = stage(with_parity(texts.select("node", "text").dropDuplicates(["node"]), width), "candidates")
+    bitmaps = sets.select("node", "size", "parity")
 
     linked = connected_components(_confirmed(near, sets, percent, width))
     tight = flip_bound(percent / 100, samples, bits, slack=0)
     for candidates, most in ((_nearest_pairs, tight), (_remaining_pairs, limit)):
-        members = stage(_open_members(buckets, linked, distinct), "open")
-        links = stage(_confirmed(candidates(members, most, sketch_words), sets, percent, width), "links")
+        members = stage(_open_members(buckets, linked, distinct.join(bitmaps, "node")), "open")
+        links = stage(_confirmed(candidates(members, most, percent, sketch_words), sets, percent, width), "links")
         if not links.isEmpty():
             known = linked.select(F.col("node").alias("u"), F.col("component").alias("v"))
             linked = connected_components(known.unionByName(links))
