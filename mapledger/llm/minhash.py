@@ -29,8 +29,12 @@ NEAREST, LOOKED_AT = 4, 64
 # one link in three million at the very threshold is missed, none of sets with few differences
 PARITY_WORDS = 32
 PARITY_SLACK = 5.0
+# bits of the map that spares documents without a partner in a join the shuffle: two megabytes
+# for any number of keys; beyond some ten million keys it spares less, and nothing else changes
+FILTER_BITS = 1 << 24
 
 _REMEMBERED = 500_000
+_CHUNK_BITS = 32768  # of a bitmap of Spark's
 _SIGNATURES = (
     "doc_id BIGINT, text_hash BIGINT, digest BINARY, n_shingles BIGINT, bands ARRAY<BIGINT>, sketch ARRAY<BIGINT>"
 )
@@ -139,6 +143,22 @@ def _rows(documents: DataFrame) -> DataFrame:
     )
 
 
+def _key_bitmaps(keys: DataFrame, name: str) -> DataFrame:
+    """Which remainders of a 64-bit hash occur: rows (_chunk, _bits), FILTER_BITS bits at most."""
+    place = F.pmod(name, F.lit(FILTER_BITS))
+    chunk, bit = F.floor(place / _CHUNK_BITS).alias("_chunk"), F.pmod(name, F.lit(_CHUNK_BITS)).alias("_bit")
+    return keys.select(chunk, bit).groupBy("_chunk").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+
+
+def _may_occur(text: Column, bitmaps: DataFrame) -> Column:
+    """Whether the hash of a text may be among the keys of the bitmaps; none that is gets lost."""
+    text_hash = F.xxhash64(text)
+    bit = F.pmod(text_hash, F.lit(_CHUNK_BITS))
+    byte = F.conv(F.hex(F.substring(bitmaps["_bits"], F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    same_chunk = F.floor(F.pmod(text_hash, F.lit(FILTER_BITS)) / _CHUNK_BITS) == bitmaps["_chunk"]
+    return same_chunk & (F.getbit(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1)
+
+
 def _flipped(a: str, b: str, sketch_words: int) -> Column:
     """Bits in which two odd sketches differ."""
     return sum((F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(sketch_words)), F.lit(0))
@@ -338,14 +358,17 @@ def link_near_duplicates(
     wanted = buckets.select("node").distinct().join(one, "node").select(
         "node", F.col("row.doc_id").alias("wanted_id"), F.col("row.text_hash").alias("text_hash")
     )
-    texts = _rows(documents).join(wanted, "text_hash").where(F.col("doc_id").eqNullSafe(F.col("wanted_id")))
+    wanted = stage(wanted, "wanted")
+    bitmaps = _key_bitmaps(wanted, "text_hash")
+    some = documents.join(F.broadcast(bitmaps), _may_occur(documents["text"], bitmaps), "left_semi")
+    texts = _rows(some).join(wanted, "text_hash").where(F.col("doc_id").eqNullSafe(F.col("wanted_id")))
     sets = stage(with_parity(texts.select("node", "text").dropDuplicates(["node"]), width), "candidates")
-    bitmaps = sets.select("node", "size", "parity")
+    parities = sets.select("node", "size", "parity")
 
     linked = connected_components(_confirmed(near, sets, percent, width))
     tight = flip_bound(percent / 100, samples, bits, slack=0)
     for candidates, most in ((_nearest_pairs, tight), (_remaining_pairs, limit)):
-        members = stage(_open_members(buckets, linked, distinct.join(bitmaps, "node")), "open")
+        members = stage(_open_members(buckets, linked, distinct.join(parities, "node")), "open")
         links = stage(_confirmed(candidates(members, most, percent, sketch_words), sets, percent, width), "links")
         if not links.isEmpty():
             known = linked.select(F.col("node").alias("u"), F.col("component").alias("v"))
@@ -395,9 +418,14 @@ def one_of_each(documents: DataFrame, percent: int = 80, **settings: int) -> Dat
     )
     same = F.xxhash64(documents["text"]).eqNullSafe(F.col("_hash")) & documents["doc_id"].eqNullSafe(F.col("_id"))
     marks = stage(marks, "marks")
-    kept = documents.join(marks, same, "left_anti")
+    # most documents have no mark: they stay where they are, only the others meet the marks
+    bitmaps = _key_bitmaps(marks, "_hash")
+    touched = _may_occur(documents["text"], bitmaps)
+    sure = documents.join(F.broadcast(bitmaps), touched, "left_anti")
+    marked = documents.join(F.broadcast(bitmaps), touched, "left_semi")
+    kept = sure.unionByName(marked.join(marks, same, "left_anti"))
     # a repeated row that stays: any one of its copies
-    again = documents.join(marks.where(F.col("_first").isNotNull()), same)
+    again = marked.join(marks.where(F.col("_first").isNotNull()), same)
     number = F.row_number().over(Window.partitionBy("_id", "_hash").orderBy("_id"))
     single = again.withColumn("_number", number).where(F.col("_number") == 1)
     return kept.unionByName(single.select(*[single[f"`{name}`"] for name in documents.columns]))

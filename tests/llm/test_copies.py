@@ -55,3 +55,15 @@ def test_bitmaps_rule_out_no_link(spark):
             far += 1
             assert (x, y) not in kept
     assert links > 150 and far > 1000
+
+
+def test_bitmaps_of_keys(spark):
+    """Every text with a key passes, few others do, and the largest hash remainders have their place."""
+    frame = spark.range(40000).select("id", F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    frame = frame.unionByName(spark.createDataFrame([(-1, None), (-2, "")], "id BIGINT, text STRING"))
+    keys = frame.where("id % 10 = 0 or id < 0").select(F.xxhash64("text").alias("key"))
+    bitmaps = minhash._key_bitmaps(keys, "key")
+    passed = {r.id for r in frame.join(F.broadcast(bitmaps), minhash._may_occur(frame["text"], bitmaps), "left_semi").collect()}
+    left = {r.id for r in frame.join(F.broadcast(bitmaps), minhash._may_occur(frame["text"], bitmaps), "left_anti").collect()}
+    wanted = {-1, -2, *range(0, 40000, 10)}
+    assert wanted <= passed and len(passed - wanted) < 100 and len(passed) + len(left) == 40002
