@@ -292,6 +292,7 @@ _TEXT_BLOCKS = (
 _PARTS = "part BIGINT, block BIGINT, keys BINARY, n BINARY"
 _RESULTS = "block BIGINT, kind STRING, part BIGINT, data BINARY, distinct BIGINT"
 _PAIR = (1 << 2 * _BITS) - 1
+_GRAMS_AT_ONCE = 1 << 19  # distinct grams whose symbols are summed at once
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -317,8 +318,11 @@ def text_symbols(ids: np.ndarray, sizes: np.ndarray, words: list[bytes]) -> tupl
     line[inner] = ids
     line[ends - sizes - 2], line[ends - 1] = len(words), len(words) + 1
     own = lengths[line]
-    shift = starts[line] - (np.cumsum(own) - own)
-    symbols = table[np.repeat(shift, own) + np.arange(int(own.sum()))]
+    total = int(own.sum())
+    number = np.int32 if max(total, len(table)) < 1 << 31 else np.int64  # half the memory for all blocks of usual texts
+    place = np.repeat((starts[line] - (np.cumsum(own) - own)).astype(number), own)
+    place += np.arange(total, dtype=number)
+    symbols = table[place]
     return np.repeat(np.arange(len(sizes), dtype=np.int32), np.add.reduceat(own, ends - sizes - 2)), symbols
 
 
@@ -329,7 +333,8 @@ def text_grams(owner: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.n
         value <<= _BITS
         value[k:] |= symbols[: len(symbols) - k]
     real = symbols != START
-    return owner[real], value[real]
+    owner = owner[real]
+    return owner, value[real]
 
 
 def _part_of(gram: np.ndarray, parts: int) -> np.ndarray:
@@ -373,6 +378,12 @@ def _in_text_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield block.batch(made)
 
 
+def _is_first(sorted_values: np.ndarray) -> np.ndarray:
+    first = np.ones(len(sorted_values), bool)
+    np.not_equal(sorted_values[1:], sorted_values[:-1], out=first[1:])
+    return first
+
+
 def _grams_of(row: dict) -> tuple[np.ndarray, np.ndarray]:
     sizes, words = np.array(row["sizes"], np.int64), zlib.decompress(row["words"]).split()
     return text_grams(*text_symbols(_unpacked(row["ids"], "<u4"), sizes, words))
@@ -442,12 +453,14 @@ def score_texts(documents: DataFrame, parts: int = 7, held_out: int = 2) -> Data
                 owner, gram = _grams_of(row)
                 gram = gram.view(np.uint64)
                 gram <<= np.uint64(1)
-                gram |= np.array(row["held_out"], np.uint64)[owner]
+                gram |= np.array(row["held_out"], np.uint8)[owner]
+                del owner
                 gram.sort()
-                held = (gram & np.uint64(1)).astype(np.int64)
+                learned = (gram.astype(np.uint8) & 1) ^ 1
                 gram >>= np.uint64(1)
-                starts = np.flatnonzero(np.diff(gram.view(np.int64), prepend=-1))
-                n, gram = np.add.reduceat(1 - held, starts).astype("<u4"), gram.view(np.int64)[starts]
+                starts = np.flatnonzero(_is_first(gram))
+                n, gram = np.add.reduceat(learned, starts, dtype="<u4"), gram.view(np.int64)[starts]
+                del learned, starts
                 for p, own in _by_part(_part_of(gram, into)):
                     yield _batch([(p, row["block"], _packed(gram[own]), _packed(n[own]))], [pa.int64(), pa.int64(), pa.binary(), pa.binary()], ["part", "block", "keys", "n"])
 
@@ -478,12 +491,20 @@ def score_texts(documents: DataFrame, parts: int = 7, held_out: int = 2) -> Data
         known = np.bincount(text, (c > 0)[ids], len(sizes)).astype(np.int64) + (train_texts > 0)
         owner, gram = _grams_of(row)
         order = np.argsort(gram)
-        gram, owner = gram[order], owner[order]
-        first = np.diff(gram, prepend=-1) != 0
-        logp = np.zeros(int(first.sum()))
-        for p, own in _by_part(_part_of(gram[first], into)):
-            logp[own] = np.frombuffer(zlib.decompress(data["grams", p]))
-        score = np.bincount(owner, logp[np.cumsum(first) - 1], len(sizes))
+        gram = gram[order]
+        owner = owner[order]
+        del order
+        first = _is_first(gram)
+        gram = gram[first]  # what repeats is not held any more
+        logp = np.zeros(len(gram))
+        for p, own in _by_part(_part_of(gram, into)):
+            logp[own] = np.frombuffer(zlib.decompress(data.pop(("grams", p))))
+        at, score = np.flatnonzero(first), np.zeros(len(sizes))
+        for i in range(0, len(at), _GRAMS_AT_ONCE):
+            ends = at[i + 1 : i + _GRAMS_AT_ONCE + 1]
+            runs = np.diff(at[i : i + _GRAMS_AT_ONCE], append=ends[-1] if len(at) > i + _GRAMS_AT_ONCE else len(first))
+            inside = owner[at[i] : at[i] + int(runs.sum())]
+            score += np.bincount(inside, np.repeat(logp[i : i + _GRAMS_AT_ONCE], runs), len(sizes))
         return pa.table(
             {
                 "doc_id": pa.array(row["doc_ids"], pa.int64()), "held_out": pa.array(row["held_out"], pa.bool_()),

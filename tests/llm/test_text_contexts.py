@@ -46,6 +46,7 @@ def is_held(i):
 def test_against_sets(spark, monkeypatch, size):
     monkeypatch.setattr(ppm, "TEXT_BLOCK_BYTES", size)
     monkeypatch.setattr(ppm, "PART_BYTES", 2000)
+    monkeypatch.setattr(ppm, "_GRAMS_AT_ONCE", 700)
     texts = [r.text[:600] for r in small(spark, "documents").select("text").limit(60).collect()] + [*ODD[:2], *ODD[3:], None, None] + ["Zz qqq\nzz"] * 3
     found = {r.doc_id: tuple(r)[1:] for r in ppm.score_texts(frame(spark, texts)).collect()}
     words = scores_by_dicts(list(enumerate(texts)))
