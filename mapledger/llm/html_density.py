@@ -16,6 +16,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,8 +35,8 @@ BLOCKS = frozenset(
 )
 # never part of an article
 DROPPED = frozenset(
-    "head script style noscript template iframe object embed svg math canvas nav header footer aside form button "
-    "input select textarea label fieldset menu dialog audio video map noembed noframes xmp title".split()
+    "head script style noscript template iframe object embed svg canvas nav header footer aside form button "
+    "input select textarea menu dialog audio video map noembed noframes xmp title".split()
 )
 # a start tag that ends an open element of these, unless one of the others is in between
 IMPLIED_END = {
@@ -59,8 +60,13 @@ UNWANTED_WORDS = frozenset(
     "skip copyright complementary contentinfo search".split()
 )
 COMMENT_WORDS = frozenset("ad ads advert advertisement sponsored promo related comment comments reply replies review reviews".split())
-# of a page's layout, not of what an element is
+# parts of a slug that no amount of text speaks against
+CERTAIN_PARTS = COMMENT_WORDS | frozenset("commentlist disqus respond cookie cookies consent gdpr".split())
+# of a page's layout, not of what an element is: words before or behind the one they speak of
 LAYOUT_PREFIXES = ("has-", "with-", "no-", "without-", "is-", "js-")
+LAYOUT_BEFORE = frozenset("has with no without is".split())
+LAYOUT_BEHIND = frozenset("enabled disabled open closed on off".split())
+CONTROLS = frozenset("input select textarea button".split())
 # ----------------------------------------------------------------------------
 
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
@@ -72,6 +78,7 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SPACE = re.compile(r"\s+")
 _HEADING = re.compile("h[1-6]")
+_LABELLED = re.compile(r"(?:^|\s)for\s*=", re.I)
 
 
 @dataclass(slots=True)
@@ -79,6 +86,7 @@ class Node:
     tag: str
     unwanted: bool = False
     doubtful: bool = False  # unwanted unless its text speaks for it
+    by_share: bool = False  # in doubt, and wanted only if most of the text is in it
     children: list = field(default_factory=list)  # nodes and texts
     chars: int = 0
     tags: int = 0
@@ -88,12 +96,22 @@ class Node:
     density_sum: float = 0.0
 
 
+def _named_parts(token: str, words: frozenset) -> list[str]:
+    """Parts of a slug among the words, but for those that tell what a layout has: `post-with-comments`, `share-enabled`."""
+    parts = token.split("-")
+    if token.startswith(LAYOUT_PREFIXES):
+        return []
+    beside = zip(parts, ["", *parts], [*parts[1:], ""], strict=False)
+    return [part for part, before, behind in beside if part in words and before not in LAYOUT_BEFORE and behind not in LAYOUT_BEHIND]
+
+
 def _marked(tag: str, attributes: str) -> tuple[bool, bool]:
     """Whether attributes mark an element as no part of the article, and whether that is in doubt.
 
-    The ids of sections and paragraphs are often made from their headings, and
-    a part of a slug is a weak mark there, unless it ends with a word for comments.
-    A heading is never marked by words.
+    A word that is a whole class, id or role is a sure mark, but for ids of
+    sections and paragraphs, which are often made from their headings. A part
+    of a slug is a weak mark, unless it speaks of comments or cookies. A
+    heading is never marked by words.
     """
     if not attributes.strip() or tag in ("body", "main"):
         return False, False
@@ -106,17 +124,20 @@ def _marked(tag: str, attributes: str) -> tuple[bool, bool]:
             return True, False
         if name in ("class", "id", "role") and not _HEADING.fullmatch(tag):
             for token in value.replace("_", "-").split():
-                if token not in words and (words.isdisjoint(token.split("-")) or token.startswith(LAYOUT_PREFIXES)):
+                whole, parts = token in words, _named_parts(token, words)
+                if not whole and not parts:
                     continue
-                weak = name == "id" or token not in words
-                marks.append(tag in ("section", "p") and weak and token.split("-")[-1] not in COMMENT_WORDS)
+                if tag in ("section", "p"):
+                    marks.append((name == "id" or not whole) and token.split("-")[-1] not in COMMENT_WORDS)
+                else:
+                    marks.append(not whole and CERTAIN_PARTS.isdisjoint(parts))
     return bool(marks), bool(marks) and all(marks)
 
 
 def parse(page: str) -> Node:
     """The tree of a page: unclosed elements end where the next one of their kind, or their parent, does."""
     root = Node("html")
-    stack, at, size = [root], 0, len(page)
+    stack, opened, at, size = [root], Counter(), 0, len(page)
     while at < size:
         found = _TOKEN.search(page, at)
         start = found.start() if found else size
@@ -129,9 +150,9 @@ def parse(page: str) -> Node:
         if not tag:
             continue
         if found[1]:
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[depth].tag == tag:
-                    del stack[depth:]
+                    _close(stack, opened, depth)
                     break
                 # an inline end tag never closes a block around it
                 if stack[depth].tag in BLOCKS and tag not in BLOCKS:
@@ -139,10 +160,17 @@ def parse(page: str) -> Node:
             continue
         if tag == "html":
             continue
-        _close_implied(stack, tag)
+        _close_implied(stack, opened, tag)
         marked, doubtful = _marked(tag, found[3])
         node = Node(tag, tag in DROPPED or marked, doubtful and tag not in DROPPED or tag == "form" and not marked)
-        stack[-1].children.append(node)
+        node.by_share = node.doubtful and tag not in ("section", "p", "form")
+        if tag == "label" and _LABELLED.search(found[3]):
+            node.unwanted, node.doubtful = True, False
+        if tag in CONTROLS and (opened["fieldset"] or opened["label"]):  # what groups or names controls is part of a form
+            for outer in stack:
+                if outer.tag in ("fieldset", "label"):
+                    outer.unwanted, outer.doubtful = True, False
+        (_parent_of(tag, stack) if opened["header"] else stack[-1]).children.append(node)
         if tag in ("article", "main") and not node.unwanted:
             for outer in stack:  # what holds the article isn't ruled out by its class
                 outer.unwanted = outer.tag in DROPPED and outer.tag != "form"
@@ -153,25 +181,44 @@ def parse(page: str) -> Node:
             at = end.end() if end else size
             continue
         stack.append(node)
+        opened[tag] += 1
     return root
 
 
-def _close_implied(stack: list[Node], tag: str) -> None:
+def _close(stack: list[Node], opened: Counter, depth: int) -> None:
+    """End the open elements from a depth on; `opened` tells how many of a tag are open, so none is looked for in vain."""
+    for node in stack[depth:]:
+        opened[node.tag] -= 1
+    del stack[depth:]
+
+
+def _parent_of(tag: str, stack: list[Node]) -> Node:
+    """Where an element belongs: the headings of an article's header are the article's own."""
+    if _HEADING.fullmatch(tag):
+        for depth in range(len(stack) - 1, 1, -1):
+            if stack[depth].tag == "header":
+                return stack[depth - 1] if any(outer.tag == "article" for outer in stack[:depth]) else stack[-1]
+            if stack[depth].unwanted:
+                break
+    return stack[-1]
+
+
+def _close_implied(stack: list[Node], opened: Counter, tag: str) -> None:
     if tag in IMPLIED_END:
         ends, scope = IMPLIED_END[tag]
-        for depth in range(len(stack) - 1, 0, -1):
+        for depth in range(len(stack) - 1, 0, -1) if any(opened[end] for end in ends) else ():
             if stack[depth].tag in scope:
                 break
             if stack[depth].tag in ends:
-                del stack[depth:]
+                _close(stack, opened, depth)
                 if tag != "tr":
                     break
-    if tag in ENDS_PARAGRAPH:
+    if tag in ENDS_PARAGRAPH and opened["p"]:
         for depth in range(len(stack) - 1, 0, -1):
             if stack[depth].tag in PARAGRAPH_SCOPE:
                 break
             if stack[depth].tag == "p":
-                del stack[depth:]
+                _close(stack, opened, depth)
                 break
 
 
@@ -301,10 +348,59 @@ def _possible(root: Node) -> list[Node]:
     return found
 
 
+def _prose(nodes: list[Node]) -> tuple[dict[int, int], dict[int, int]]:
+    """Characters outside of links below each of the nodes (parents first): in what is wanted, and with what is in doubt."""
+    firm, total, linked = {}, {}, set()
+    for node in nodes:
+        if node.tag == "a" or id(node) in linked:
+            linked.update(id(c) for c in node.children if isinstance(c, Node))
+            linked.add(id(node))
+    for node in reversed(nodes):
+        own = 0 if id(node) in linked else sum(len(_SPACE.sub(" ", c).strip()) for c in node.children if isinstance(c, str))
+        inner = [c for c in node.children if isinstance(c, Node) and id(c) in total]
+        firm[id(node)] = own + sum(firm[id(c)] for c in inner if not c.unwanted)
+        total[id(node)] = own + sum(total[id(c)] for c in inner if not c.unwanted or c.by_share)
+    return firm, total
+
+
+def _keep_by_share(root: Node) -> None:
+    """Want those elements marked by a part of a slug that hold more prose than all that is certain around them.
+
+    Looked at from the outside in, once for each node: in the articles by their
+    tag if a page has any, else in the whole page. Of several such elements
+    those stay that hold at least half of the prose of the largest.
+    """
+    nodes = _possible(root)
+    if not any(node.by_share and node.unwanted for node in nodes):
+        return
+    firm, total = _prose(nodes)
+    within = [n for n in nodes if n.tag in ("article", "main") and not n.unwanted] or [root]
+    seen: set[int] = set()
+    while within:
+        around = within.pop()
+        found, stack = [], [around]
+        while stack:
+            node = stack.pop()
+            if id(node) in seen:
+                continue
+            seen.add(id(node))
+            for child in node.children:
+                if isinstance(child, Node) and child.by_share and child.unwanted:
+                    found.append(child)
+                elif isinstance(child, Node) and not child.unwanted:
+                    stack.append(child)
+        most = max((total[id(n)] for n in found), default=0)
+        for node in found:
+            if total[id(node)] > firm[id(around)] and 2 * total[id(node)] >= most:
+                node.unwanted = False
+                within.append(node)
+
+
 def choose(root: Node) -> Node | None:
     """The article, with the parts of it whose marks are in doubt and whose text isn't mostly links.
 
-    A form that holds most of a page's text is kept if the page has no article
+    Elements other than sections and paragraphs whose class or id holds a
+    doubtful part are wanted if most of the prose is in them. A form that holds most of a page's text is kept if the page has no article
     by its tag. If nothing is left of a page, what is in doubt is looked at.
     """
     nodes = _possible(root)
@@ -315,13 +411,14 @@ def choose(root: Node) -> Node | None:
         measure(root, root)
         for form in forms:
             form.unwanted = 2 * form.chars <= root.chars
+    _keep_by_share(root)
     chosen = select(root)
     if chosen is None:
         for node in nodes:
             if node.tag != "form" and node.doubtful:
                 node.unwanted = False
         return select(root)
-    doubtful = [n for n in _possible(chosen) if n.doubtful and n.unwanted and n.tag != "form"]
+    doubtful = [n for n in _possible(chosen) if n.doubtful and n.unwanted and not n.by_share and n.tag != "form"]
     for node in doubtful:
         node.unwanted = False
     if doubtful:
