@@ -15,6 +15,22 @@ _PRIORITY = "'Audit ' || o_orderpriority"
 _EVENT_KEY = "audit_name, map_id, event_source, event_name, action_name, parameter_name, parameter_value"
 _IDENTITY = "audit_name, map_id, map_folder, map_name"
 
+_COMPARED = {
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate",
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal",
+    "region": "r_regionkey r_name",
+}
+
+
+def _names(table: str) -> str:
+    return f"'{_COMPARED[table].replace(' ', '|')}'"
+
+
+def _cells(table: str) -> str:
+    return " || '|' || ".join(f"coalesce(CAST({name} AS VARCHAR), 'NULL')" for name in _COMPARED[table].split())
+
+
 STANDINS = {
     "registry": rf"""
         SELECT {_PRIORITY} AS audit_name, CAST(o_orderkey AS VARCHAR) AS map_id,
@@ -208,6 +224,22 @@ STANDINS = {
               FROM orders WHERE o_totalprice >= 5000
               UNION ALL SELECT *, 0, 1 FROM orders WHERE o_totalprice < 15000)
         GROUP BY ALL HAVING sum(a) <> sum(b)""",
+    "changed_lines": """
+        SELECT * REPLACE (CASE WHEN l_linenumber = 2 AND l_quantity = 50 THEN NULL ELSE l_discount END AS l_discount)
+        FROM lineitem WHERE NOT (l_tax = 0 AND l_quantity = 1)""",
+    "pair_counts": f"""
+        SELECT 'orders' AS pair_id, {_names("orders")} AS names, {_cells("orders")} AS cells, count_a, count_b FROM {{row_counts}}
+        UNION ALL
+        SELECT 'lines', {_names("lineitem")}, cells, CAST(sum(a) AS BIGINT), CAST(sum(b) AS BIGINT)
+        FROM (SELECT {_cells("lineitem")} AS cells, 1 AS a, 0 AS b FROM lineitem
+              UNION ALL SELECT {_cells("lineitem")}, 0, 1 FROM {{changed_lines}})
+        GROUP BY ALL HAVING sum(a) <> sum(b)
+        UNION ALL
+        SELECT 'customer', 'c_custkey|c_name|c_nationkey', concat_ws('|', c_custkey, c_name, c_nationkey), 1, 0
+        FROM customer WHERE NOT coalesce(c_acctbal > 0, FALSE)
+        UNION ALL SELECT 'supplier', {_names("supplier")}, {_cells("supplier")}, 1, 0 FROM supplier
+        UNION ALL SELECT 'region', {_names("region")}, {_cells("region")}, 0, 1 FROM region
+        UNION ALL SELECT 'nation', '', '', (SELECT count(*) FROM nation), (SELECT count(*) FROM region)""",
 }
 
 _LOG_PATH = rf"replace(map_folder || '\' || map_name, 'Y:\', '{SHARE}')"
@@ -497,6 +529,20 @@ STATEMENTS = {
         FROM (SELECT (SELECT count(*) FROM {structure}) AS c,
                      CAST(coalesce(sum(greatest(count_a - count_b, 0)), 0) AS BIGINT) AS a,
                      CAST(coalesce(sum(greatest(count_b - count_a, 0)), 0) AS BIGINT) AS b FROM {row_counts})""",
+    "compare_rows_by_bucket": """
+        SELECT * EXCLUDE (a, b), CAST(sum(a) AS BIGINT) AS count_a, CAST(sum(b) AS BIGINT) AS count_b
+        FROM (SELECT *, 1 AS a, 0 AS b FROM lineitem UNION ALL SELECT *, 0, 1 FROM {changed_lines})
+        GROUP BY ALL HAVING sum(a) <> sum(b)""",
+    "compare_pairs_rows": "SELECT * FROM {pair_counts}",
+    "compare_pairs_summary": """
+        SELECT pair_id, CAST(c > 0 AS INTEGER) AS has_template_difference, CAST(a + b > 0 AS INTEGER) AS has_data_difference,
+               CAST(c AS BIGINT) AS column_differences, a AS rows_only_in_a, b AS rows_only_in_b
+        FROM (SELECT p.pair_id, any_value(p.c) AS c,
+                     CAST(coalesce(sum(greatest(count_a - count_b, 0)), 0) AS BIGINT) AS a,
+                     CAST(coalesce(sum(greatest(count_b - count_a, 0)), 0) AS BIGINT) AS b
+              FROM (VALUES ('orders', 0), ('lines', 0), ('customer', 4), ('part', 0), ('supplier', 4), ('region', 2),
+                           ('nation', 5)) p(pair_id, c)
+              LEFT JOIN {pair_counts} r ON r.pair_id = p.pair_id GROUP BY p.pair_id)""",
     "audit_run_status": _RUN_STATUS,
     "audit_run_headers": f"""
         SELECT {_HEADER.replace(" run_id", " CAST(2 AS BIGINT) AS run_id")} FROM {{headers}} WHERE active_bit = 1 AND has_file""",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from mapledger.checks.standins import Inputs
 from mapledger.functions import text
-from mapledger.operators import history, reconcile, status, tablediff, xmlmeta
+from mapledger.operators import history, reconcile, status, tablediff, tablepairs, xmlmeta
 from mapledger.plans import acceptance
 from mapledger.plans.audit_run import Outputs, run_audit
 from mapledger.schemas import EVENT_WIDTHS, MAP_SUFFIX
@@ -490,6 +490,23 @@ def comparison_summary(i: Inputs) -> DataFrame:
     return tablediff.comparison_summary(compare_structure(i), compare_rows(i))
 
 
+@query
+def compare_rows_by_bucket(i: Inputs) -> DataFrame:
+    return tablepairs.compare_rows_by_bucket(i.table("lineitem"), i.changed_lines())
+
+
+@query
+def compare_pairs_rows(i: Inputs) -> DataFrame:
+    found = tablepairs.compare_pairs_rows(i.spark, i.table_pairs())
+    names, cells = F.array_join("columns", "|"), F.array_join("cells", "|", "NULL")
+    return found.select("pair_id", names.alias("names"), cells.alias("cells"), "count_a", "count_b")
+
+
+@query
+def compare_pairs_summary(i: Inputs) -> DataFrame:
+    return tablepairs.compare_pairs(i.spark, i.table_pairs())["comparison_summary"]
+
+
 # --- whole run ------------------------------------------------------------
 
 

@@ -465,6 +465,27 @@ class Inputs:
         )
         return kept.unionByName(orders.where("o_totalprice < 15000"))
 
+    def changed_lines(self) -> DataFrame:
+        """Line items after a migration: two of a kind changed, a few lost."""
+        changed = F.expr("CASE WHEN l_linenumber = 2 AND l_quantity = 50 THEN NULL ELSE l_discount END")
+        return self.table("lineitem").where("NOT (l_tax = 0 AND l_quantity = 1)").withColumn("l_discount", changed)
+
+    def table_pairs(self) -> dict:
+        """Tables before and after a migration, of many schemas."""
+        customer = self.table("customer")
+        moved = customer.where("c_acctbal > 0").select(
+            F.lit("new").alias("origin"), "c_nationkey", F.col("c_custkey").cast("decimal(18,0)").alias("C_CUSTKEY"), "c_name"
+        )
+        return {
+            "orders": (self.table("orders"), self.changed_orders()),
+            "lines": (self.table("lineitem"), self.changed_lines()),
+            "customer": (customer, moved),
+            "part": (self.table("part"), self.table("part")),
+            "supplier": (self.table("supplier"), None),
+            "region": (None, self.table("region")),
+            "nation": (self.table("nation"), self.table("region")),
+        }
+
     def swapped_summary(self) -> DataFrame:
         """Some maps are logged by the audit that follows their own."""
         return self.table("orders").where("o_totalprice >= 100000").selectExpr(

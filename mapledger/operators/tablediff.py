@@ -64,20 +64,24 @@ def compare_rows(a: DataFrame, b: DataFrame, columns: Sequence[str] | None = Non
     text that is no number is a difference, not an error. Whole numbers,
     floating ones and decimals of different widths compare as numbers.
     """
-    names = list(columns) if columns else _common(a, b)
+    names = list(columns) if columns else common_columns(a, b)
+    counted = tagged_rows(a, b, names).groupBy(*names).agg(F.sum("_a").alias("count_a"), F.sum("_b").alias("count_b"))
+    return counted.where(F.col("count_a") != F.col("count_b"))
+
+
+def tagged_rows(a: DataFrame, b: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows of both tables by the named columns, in types that compare, with the counts `_a` and `_b`."""
     mine, other = _types(a), _types(b)
-    by_text = {name for name in names if _family(mine[name.lower()]) != _family(other[name.lower()])}
+    by_text = {name for name in names if type_family(mine[name.lower()]) != type_family(other[name.lower()])}
 
     def side(df: DataFrame, in_a: int) -> DataFrame:
         values = [F.col(name).cast("string").alias(name) if name in by_text else F.col(name) for name in names]
         return df.select(*values, F.lit(in_a).alias("_a"), F.lit(1 - in_a).alias("_b"))
 
-    tagged = side(a, 1).union(side(b, 0))
-    counted = tagged.groupBy(*names).agg(F.sum("_a").alias("count_a"), F.sum("_b").alias("count_b"))
-    return counted.where(F.col("count_a") != F.col("count_b"))
+    return side(a, 1).union(side(b, 0))
 
 
-def _family(kind: str) -> str:
+def type_family(kind: str) -> str:
     if kind in ("tinyint", "smallint", "int", "bigint"):
         return "whole"
     if kind in ("float", "double"):
@@ -89,7 +93,7 @@ def _types(df: DataFrame) -> dict[str, str]:
     return {field.name.lower(): field.dataType.simpleString() for field in df.schema}
 
 
-def _common(a: DataFrame, b: DataFrame) -> list[str]:
+def common_columns(a: DataFrame, b: DataFrame) -> list[str]:
     other = {name.lower() for name in b.columns}
     return [name for name in a.columns if name.lower() in other]
 

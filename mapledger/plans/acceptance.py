@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from mapledger.functions.text import like_contains, same_text, strip_schema
 from mapledger.operators.matching import contains_pairs
 from mapledger.operators.tablediff import compare_rows, compare_structure, comparison_summary, describe_columns
+from mapledger.operators.tablepairs import compare_pairs
 from mapledger.schemas import LOAD_LINE_COLUMNS, PACKAGE_OVERVIEW_COLUMNS, TF_SUFFIX
 from mapledger.session import stage
 from mapledger.sources.tables import scan_load_log
@@ -228,13 +229,39 @@ def load_lines_for(
     return lines.join(matched, "map_name").select("request_id", *LOAD_LINE_COLUMNS)
 
 
+def compare_packages(package: DataFrame, open_table: Callable[[str], DataFrame | None]) -> dict[str, DataFrame]:
+    """D1 to D3 of the tables of many requests' packages, tagged with `request_id`.
+
+    `package` is the result of U2 for the requests. Each different pair of
+    tables is opened and compared once, however many requests share it; only
+    the distinct table names come to the driver, which has to open the tables
+    anyhow. `open_table` returns None for a table that isn't there: the rows of
+    the other one are all differences. A request with neither has no rows.
+    """
+    spark = package.sparkSession
+    name = F.concat_ws(" = ", "legacy_table", "new_table")
+    wanted = package.where((F.col("legacy_table") != "") | (F.col("new_table") != ""))
+    pairs = {}
+    for row in wanted.select(name.alias("pair_id"), "legacy_table", "new_table").distinct().collect():
+        sides = tuple(open_table(table) if table else None for table in (row.legacy_table, row.new_table))
+        if any(side is not None for side in sides):
+            pairs[row.pair_id] = sides
+    asked = wanted.select("request_id", name.alias("pair_id"))
+    return {section: asked.join(df, "pair_id").drop("pair_id") for section, df in compare_pairs(spark, pairs).items()}
+
+
 def acceptance_report_all(
-    tables: Mapping[str, DataFrame], requests: DataFrame, match: str = "like"
+    tables: Mapping[str, DataFrame],
+    requests: DataFrame,
+    match: str = "like",
+    open_table: Callable[[str], DataFrame | None] | None = None,
 ) -> dict[str, DataFrame]:
     """The sections of U12 for a table of requests, tagged with `request_id`.
 
     The packages of the requests, which five sections read, are written to
-    the shared folder once; nothing returns to the driver in between.
+    the shared folder once. With `open_table` the tables of the packages are
+    compared as well, as U12 does with `compare`; without it nothing returns
+    to the driver in between.
     """
     found = stage(packages_for(requests, tables["packages"], match), "packages")
     package = _picked(requests, found)
@@ -268,4 +295,4 @@ def acceptance_report_all(
         "load_lines_legacy": load_lines_for(requests, tables["load_log"], "legacy", match, client),
         "load_lines_new": load_lines_for(requests, tables["load_log"], "new", match, client),
         "special_events": by("special_events", "audit_name", "map_name"),
-    }
+    } | (compare_packages(package, open_table) if open_table else {})

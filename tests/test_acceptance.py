@@ -1,10 +1,11 @@
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from mapledger.functions.text import base_name, like_contains, overlong_values, same_text
-from mapledger.operators import tablediff
+from mapledger.operators import tablediff, tablepairs
 from mapledger.operators.matching import contains_pairs
 from mapledger.plans import acceptance
 from mapledger.schemas import TABLES
@@ -161,3 +162,60 @@ def test_load_lines_of_the_own_client(spark, rows):
     assert rows(found.select("request_id", "sql_database")) == [(1, "dbA"), (2, "dbB")]
     assert acceptance.load_lines_for(requests, log, "legacy").count() == 4
     assert [r.sql_database for r in acceptance.load_lines(log, "legacy", "m.tf.xml", tracker_db="dbB").collect()] == ["dbB"]
+
+
+def test_many_pairs_equal_each_one(spark, rows):
+    rng = random.Random(8)
+
+    def table(schema, values, n):
+        return spark.createDataFrame([tuple(rng.choice(v) for v in values) for _ in range(n)], schema)
+
+    numbers, words, parts = [1, 2, None], ["x", "y", "", None, "null"], [Decimal("1.5"), Decimal("-2"), None]
+    pairs = {
+        "p": tuple(table("i INT, s STRING, t STRING", [numbers, words, words], 60) for _ in "ab"),
+        "q": (table("I BIGINT, f FLOAT", [numbers, [0.0, -0.0, 0.5]], 30), table("f DOUBLE, i SMALLINT", [[0.0, 0.5], numbers], 30)),
+        "r": (table("d DECIMAL(5,2)", [parts], 20), table("d DECIMAL(9,4)", [parts], 20)),
+        "s": (table("i INT", [numbers], 9), table("i STRING", [["1", "02", None]], 9)),
+        "t": (table("i INT", [numbers], 9), None),
+        "u": (table("i INT", [numbers], 0), table("i INT", [numbers], 0)),
+        "v": (table("i INT, a ARRAY<INT>", [numbers, [[1, None], [], None]], 40),) * 2,
+        "w": (table("i INT", [numbers], 9), table("k INT", [numbers], 4)),
+    }
+    many = tablepairs.compare_pairs(spark, pairs, buckets=4)
+    for pair_id, (a, b) in pairs.items():
+        one = acceptance.compare_tables(a, b if b is not None else spark.createDataFrame([], a.schema))
+        found = many["compare_rows"].where(F.col("pair_id") == pair_id)
+        counts = one["compare_rows"].select("count_a", "count_b")
+        assert rows(found.select("count_a", "count_b")) == rows(counts), pair_id
+        if pair_id == "p":
+            cells = found.select(*[F.col("cells")[n] for n in range(3)], "count_a", "count_b")
+            assert rows(cells) == rows(one["compare_rows"].withColumn("i", F.col("i").cast("string")))
+        if b is not None:
+            assert rows(tablepairs.compare_rows_by_bucket(a, b, buckets=4)) == rows(one["compare_rows"])
+            summary = many["comparison_summary"].where(F.col("pair_id") == pair_id).drop("pair_id")
+            assert rows(summary) == rows(one["comparison_summary"])
+    assert rows(many["compare_structure"].where("pair_id = 't'").select("column_key", "problem")) == [("i", "only in a")]
+    assert tablepairs.compare_pairs(spark, {})["comparison_summary"].count() == 0
+
+
+def test_only_unequal_buckets_are_kept(spark):
+    a = spark.range(20_000).select("id", (F.col("id") % 7).alias("n"))
+    b = a.withColumn("n", F.when(F.col("id") == 77, None).otherwise(F.col("n")))
+    tagged = tablediff.tagged_rows(a, b, ["id", "n"])
+    assert 2 <= tablepairs.keep_unequal(tagged, ["id", "n"]).count() < 50
+    # what is repeated equally often on both sides cancels, and a change of places of NULL does not
+    c = spark.createDataFrame([(None, "x"), ("y", "y")], "s STRING, t STRING")
+    d = spark.createDataFrame([("x", None), ("y", "y")], "s STRING, t STRING")
+    assert tablepairs.compare_rows_by_bucket(c, d).count() == 2
+    with pytest.raises(ValueError):
+        tablepairs.compare_rows_by_bucket(c, d, buckets=3)
+
+
+def test_packages_of_many_requests(spark, rows):
+    tables = {"old": spark.range(3), "new": spark.range(4), "same": spark.range(3)}
+    asked = [("r1", "p1", "old", "new"), ("r2", "p2", "old", "same"), ("r3", "p1", "old", "new"), ("r4", "", "", ""), ("r5", "p3", "old", "gone")]
+    package = spark.createDataFrame(asked, "request_id STRING, pack_id STRING, legacy_table STRING, new_table STRING")
+    found = acceptance.compare_packages(package, tables.get)
+    assert rows(found["compare_rows"].select("request_id", "cells", "count_b").where("count_b = 1")) == [("r1", ["3"], 1), ("r3", ["3"], 1)]
+    flags = found["comparison_summary"].select("request_id", "has_template_difference", "has_data_difference")
+    assert rows(flags) == [("r1", 0, 1), ("r2", 0, 0), ("r3", 0, 1), ("r5", 1, 1)]
