@@ -33,7 +33,7 @@ PARITY_SLACK = 5.0
 # for any number of keys; beyond some ten million keys it spares less, and nothing else changes
 FILTER_BITS = 1 << 24
 
-_REMEMBERED = 100_000  # words with their hashes, about 20 MB in each Python worker
+_REMEMBERED = 100_000  # words with their hashes, about 13 MB in each Python worker
 _CHUNK_BITS = 32768  # of a bitmap of Spark's
 _SIGNATURES = (
     "doc_id BIGINT, text_hash BIGINT, digest BINARY, n_shingles BIGINT, bands ARRAY<BIGINT>, sketch ARRAY<BIGINT>"
