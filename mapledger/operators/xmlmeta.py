@@ -51,9 +51,21 @@ def parse_map(docs: DataFrame) -> DataFrame:
 
 def read_map(docs: DataFrame) -> DataFrame:
     """As `parse_map`, with `map.rows`, the parameters read in one pass of each plain document; tags and places of the others only."""
-    return _with_places(
-        docs, "map", nesting.MAP_ROLES, nesting.map_places, nesting.MAP_PLACES, F.arrow_udf(xmlread.parameter_text_places, xmlread.PARAMETER_ROWS)
-    )
+    return _read_map(docs, xmlread.parameter_text_places, xmlread.PARAMETER_ROWS)
+
+
+def read_map_fields(docs: DataFrame) -> DataFrame:
+    """As `read_map`, with the fields as `map.rows`."""
+    return _read_map(docs, xmlread.field_text_places, xmlread.FIELD_ROWS)
+
+
+def read_map_counts(docs: DataFrame) -> DataFrame:
+    """As `read_map`, with the numbers of parameters and fields as `map.rows`."""
+    return _read_map(docs, xmlread.count_text_places, xmlread.MAP_COUNTS)
+
+
+def _read_map(docs: DataFrame, read: Callable, rows: str) -> DataFrame:
+    return _with_places(docs, "map", nesting.MAP_ROLES, nesting.map_places, nesting.MAP_PLACES, F.arrow_udf(read, rows))
 
 
 def _with_places(
@@ -340,9 +352,14 @@ def _field_arrays(parsed: DataFrame, sides: tuple[str, ...]) -> DataFrame:
 
     def rows(side: str) -> Column:
         places = F.filter("map.places.fields", lambda place: place["side"] == SIDES.index(side))
-        return F.transform(xmltree.read(F.transform(places, fragment), FIELD_ELEMENTS), lambda r: F.struct(
+        fields = F.transform(xmltree.read(F.transform(places, fragment), FIELD_ELEMENTS), lambda r: F.struct(
             r["Field"]["_name"].alias("field_name"), r["Datatype"]["_dataalias"].alias("data_type"), r["Datatype"]["_datalength"].alias("data_length")
         ))
+        if not _has_rows(parsed, "map"):
+            return fields
+        own = F.filter("map.rows", lambda r: r["side"] == SIDES.index(side))
+        named = F.transform(own, lambda r: F.struct(*[r[name].alias(name) for name in ("field_name", "data_type", "data_length")]))
+        return F.coalesce(named, fields)
 
     return parsed.where(well_formed("map")).select(*_document_key(parsed), *[rows(side).alias(side) for side in sides])
 
@@ -352,7 +369,7 @@ SIDES = ("source", "target")
 
 def both_fields(docs: DataFrame) -> DataFrame:
     """X13 and X14 at once, each document parsed once: the fields with their `side`, source or target."""
-    arrays = _field_arrays(parse_map(docs), SIDES)
+    arrays = _field_arrays(read_map_fields(docs), SIDES)
     tagged = F.array(*[F.struct(F.lit(side).alias("side"), F.col(side).alias("fields")) for side in SIDES])
     sides = arrays.select(*_document_key(docs), F.explode(tagged).alias("one")).select(*_document_key(docs), "one.*")
     return sides.select(*_document_key(docs), "side", F.posexplode("fields")).select(
@@ -362,7 +379,7 @@ def both_fields(docs: DataFrame) -> DataFrame:
 
 def map_fields(registry: DataFrame, map_docs: DataFrame, run_id: int = 0) -> DataFrame:
     """X13 and X14 with the maps the documents belong to."""
-    arrays = _field_arrays(parse_map(map_docs), SIDES)
+    arrays = _field_arrays(read_map_fields(map_docs), SIDES)
     tagged = F.array(*[F.struct(F.lit(side).alias("side"), F.col(side).alias("fields")) for side in SIDES])
     joined = _with_documents(registry, arrays.select(*_document_key(map_docs), tagged.alias("sides")), "map_path")
     sides = joined.select(*MAP_IDENTITY, F.explode("sides").alias("one")).select(*MAP_IDENTITY, "one.*")
@@ -373,7 +390,7 @@ def map_fields(registry: DataFrame, map_docs: DataFrame, run_id: int = 0) -> Dat
 
 
 def _fields(docs: DataFrame, side: str) -> DataFrame:
-    arrays = _field_arrays(parse_map(docs), (side,))
+    arrays = _field_arrays(read_map_fields(docs), (side,))
     rows = arrays.select(*_document_key(docs), F.posexplode(side))
     return rows.select(*_document_key(docs), (F.col("pos") + 1).cast("bigint").alias("ordinal"), "col.*")
 
@@ -417,9 +434,11 @@ def _parsed_documents(tf_docs: DataFrame, map_docs: DataFrame) -> DataFrame:
         problem = F.when(F.col("content").isNull(), "unreadable").when(F.col(f"{kind}._malformed").isNotNull(), "malformed")
         return parsed.select(F.lit(kind).alias("kind"), "path", problem.alias("problem"), F.array(*found).alias("counts"))
 
-    tf, mapping = parse_tf(tf_docs), parse_map(map_docs)
+    tf, mapping = parse_tf(tf_docs), read_map_counts(map_docs)
     sections = {"TransformationSource": F.size(_sources("tf")), "TransformationTarget": F.size(_targets("tf"))}
-    places = {"Parameter": F.col("map.places.n_parameters"), "Field": F.col("map.places.n_fields")}
+    places = {
+        element: F.coalesce(f"map.rows.{number}", f"map.places.{number}") for element, number in (("Parameter", "n_parameters"), ("Field", "n_fields"))
+    }
     return checked("tf", tf, sections).unionByName(checked("map", mapping, places))
 
 

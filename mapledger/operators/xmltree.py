@@ -54,7 +54,9 @@ def marks(tokens: str, roles: list[str]) -> Column:
 
 def count_tags(content: Column | str, name: str) -> Column:
     """How many elements of that name a document's text opens, comments and CDATA aside; independent of any extraction."""
-    plain = F.regexp_replace(content, f"(?s){_CDATA}|{_ASIDE}", "")
+    content = F.col(content) if isinstance(content, str) else content
+    aside = F.contains(content, F.lit("<!")) | F.contains(content, F.lit("<?"))
+    plain = F.when(aside, F.regexp_replace(content, f"(?s){_CDATA}|{_ASIDE}", "")).otherwise(content)
     return F.regexp_count(plain, F.lit(f"<{name}(?=[\\s/>])")).cast("bigint")
 
 

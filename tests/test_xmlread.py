@@ -1,6 +1,11 @@
-"""Events read in one pass of a document against those read from numbered tags."""
+"""Events and fields read in one pass of a document against those read from numbered tags."""
+
+import random
+
+import pytest
 
 from mapledger.operators import xmlmeta
+from mapledger.operators.nesting import MAP_ROLES
 
 EVENT = '<Event name="e &lt;"><Action name="a"><Parameter name=" p ">%s<x/>late</Parameter><Parameter/></Action></Event>'
 TEXTS = ["", " ", "\r\n", " a ", "1 &lt; 2", "<![CDATA[ <b> ]]>", "<![CDATA[ ]]>", "a<!-- c -->b", "&#32;&#65;", " ", "é\U0001f600"]
@@ -26,3 +31,47 @@ def test_rows_are_those_of_the_places(spark):
     assert read == parsed and sum(len(row.Map) for row in read.values()) > 20
     known = xmlmeta.read_map(docs).where("map.rows IS NOT NULL AND map.tokens IS NULL").count()
     assert known >= len(TEXTS)
+
+
+VALUES = ["", " ", " a ", "&lt;&amp;&#9;", "a\nb", "é", "1"]
+NAMES = [*MAP_ROLES, *["MapSource", "MapSchema", "RecordLayout", "Field", "Action", "Parameter"] * 2, "x"]
+INSIDE = {
+    "MapSources": ["MapSource"], "MapTargets": ["MapTarget"], "MapSource": ["MapSchema", "RecordLayoutEvents"], "MapSchema": ["RecordLayout"],
+    "RecordLayout": ["Field"], "Field": ["Datatype"], "RecordLayoutEvents": ["Event"], "MapEvents": ["Event"], "Event": ["Action"], "Action": ["Parameter"],
+}
+INSIDE["MapTarget"] = INSIDE["MapSource"]
+
+
+def random_element(rng, name, depth):
+    attributes = "".join(f' {a}="{rng.choice(VALUES)}"' for a in ("name", "dataalias", "datalength") if rng.random() < 0.5)
+    usual = INSIDE.get(name, NAMES)
+    children = [rng.choice(usual if rng.random() < 0.8 else NAMES) for _ in range(rng.randint(1, 3) if depth else 0)]
+    content = "".join(rng.choice(["", "t"]) + random_element(rng, child, depth - 1) for child in children)
+    return f"<{name}{attributes}>{content}</{name}>" if content else f"<{name}{attributes}/>"
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_fields_and_counts_are_those_of_the_places(spark, seed):
+    """Wherever elements stand: nested sources, later schemas, several layouts, the root as a source."""
+    rng = random.Random(seed)
+    roots = ["Map"] * 8 + ["MapSources", "MapSource", "MapEvents"]
+    documents = []
+    for n in range(150):
+        tops = rng.choices(["MapSources", "MapTargets", "MapEvents", "MapSource"], k=3)
+        root = rng.choice(roots)
+        documents.append(f"<{root}>{''.join(random_element(rng, top, 7) for top in tops)}</{root}>")
+    documents += [odd % documents[0] for odd in ODD] + [None, "", "<Map"]
+    docs = spark.createDataFrame([(n, d) for n, d in enumerate(documents)], "path INT, content STRING")
+    fields = [xmlmeta._field_arrays(parse(docs), xmlmeta.SIDES) for parse in (xmlmeta.read_map_fields, xmlmeta.parse_map)]
+    read, placed = ({row.path: (row.source, row.target) for row in found.collect()} for found in fields)
+    assert read == placed and sum(len(side) for sides in read.values() for side in sides) > 300
+    names = ("n_parameters", "n_fields")
+    counts = [xmlmeta.read_map_counts(docs).selectExpr("path", *[f"coalesce(map.rows.{n}, map.places.{n})" for n in names])]
+    counts.append(xmlmeta.parse_map(docs).selectExpr("path", *[f"map.places.{n}" for n in names]))
+    malformed = {row.path for row in xmlmeta.parse_map(docs).where("map._malformed IS NOT NULL").collect()}
+    read, placed = ({tuple(row) for row in found.collect() if row.path not in malformed} for found in counts)
+    assert read == placed
+    events = [xmlmeta.event_parameters(parse(docs)).collect() for parse in (xmlmeta.read_map, xmlmeta.parse_map)]
+    assert sorted(events[0]) == sorted(events[1])
+    plain = xmlmeta.read_map_fields(docs).where("map.rows IS NOT NULL AND map.tokens IS NULL").count()
+    assert plain >= 150
