@@ -2,8 +2,8 @@
 
 Rows of any schema take one form: the pair they belong to and their cells as
 texts. All pairs then share one grouping. Before it, order-free checksums of
-hash buckets tell which rows can differ at all, so equal parts of two tables
-are read but never shuffled.
+hash buckets and of rows tell which rows can differ at all, so equal parts of
+two tables are read but never shuffled as rows.
 """
 
 from __future__ import annotations
@@ -19,6 +19,10 @@ from mapledger.operators.tablediff import common_columns, compare_structure, des
 Pair = tuple[DataFrame | None, DataFrame | None]
 
 BUCKETS = 1 << 16
+# bits of the map of unequal rows' hashes: eight megabytes for any number of rows; beyond some
+# hundred million unequal ones it spares less, and nothing else changes
+FILTER_BITS = 1 << 26
+_CHUNK_BITS = 32768  # of a bitmap of Spark's
 _MOST_BUCKETS = 1 << 20  # eight bytes each, sent to every executor
 # sixteen bits at a time: sums stay in 64 bits up to 2^47 rows of a bucket
 _PIECES = [("_h1", 32), ("_h1", 48), ("_h2", 0), ("_h2", 16), ("_h2", 32), ("_h2", 48)]
@@ -34,16 +38,25 @@ def _hashed(values: list[Column]) -> list[Column]:
 
 
 def keep_unequal(tagged: DataFrame, names: list[str], buckets: int = BUCKETS) -> DataFrame:
-    """Rows of the buckets whose two sides differ; `tagged` holds the named columns and the counts `_a` and `_b`.
+    """Rows that may not be there equally often on both sides; `tagged` holds the named columns and the counts `_a` and `_b`.
 
     The sides of a bucket are equal if 96 bits of sums of row hashes are, so a
     difference goes unseen once in 2^96 buckets; equal rows always cancel,
-    whatever their order and number. The table is read twice. What travels
-    between the two passes are at most `buckets` numbers (a power of two).
+    whatever their order and number. Of the buckets that differ only two
+    hashes a row are grouped, and rows whose 128 bits come equally often on
+    both sides are left out too; so is no row with a difference, unless both of
+    its hashes meet those of another one. The table is read three times. What
+    travels between the passes are at most `buckets` numbers (a power of two)
+    and FILTER_BITS bits.
     """
+    hashed = tagged.select("*", *_hashed([F.col(f"`{name}`") for name in names]))
+    return _unequal(hashed, buckets).select(*tagged.columns)
+
+
+def _unequal(hashed: DataFrame, buckets: int) -> DataFrame:
+    """`keep_unequal` of rows that come with their hashes."""
     if buckets & (buckets - 1) or not 0 < buckets <= _MOST_BUCKETS:
         raise ValueError(f"buckets must be a power of two up to {_MOST_BUCKETS}")
-    hashed = tagged.select("*", *_hashed([F.col(f"`{name}`") for name in names]))
     placed = hashed.withColumn("_bucket", F.col("_h1").bitwiseAND(F.lit(buckets - 1)))
     sign = (F.col("_a") - F.col("_b")).cast("bigint")
     sums = [
@@ -52,7 +65,19 @@ def keep_unequal(tagged: DataFrame, names: list[str], buckets: int = BUCKETS) ->
     ]
     totals = placed.groupBy("_bucket").agg(*sums)
     unequal = totals.where(" OR ".join(f"s{n} <> 0" for n in range(len(_PIECES)))).select("_bucket")
-    return placed.join(F.broadcast(unequal), "_bucket", "left_semi").select(*tagged.columns)
+    differing = placed.join(F.broadcast(unequal), "_bucket", "left_semi")
+    rows = differing.groupBy("_h1", "_h2").agg(F.sum(sign).alias("_more")).where("_more <> 0")
+    chunk, bit = _bit_place("_h1")
+    bitmaps = rows.select(chunk.alias("_chunk"), bit.alias("_bit")).groupBy("_chunk").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    kept = differing.withColumn("_chunk", chunk).join(F.broadcast(bitmaps), "_chunk")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return kept.where(F.getbit(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1)
+
+
+def _bit_place(name: str) -> tuple[Column, Column]:
+    """Where the bit of a hash stands: the number of the bitmap, and the place in it."""
+    place = F.col(name).bitwiseAND(F.lit(FILTER_BITS - 1))
+    return F.shiftright(place, _CHUNK_BITS.bit_length() - 1), place.bitwiseAND(F.lit(_CHUNK_BITS - 1))
 
 
 def _counted(tagged: DataFrame, names: list[str]) -> DataFrame:
@@ -102,8 +127,11 @@ def _sides(pair: Pair) -> tuple[list[str], list[tuple[DataFrame, int]]]:
     return (a or b).columns, [(a, 1) if b is None else (b, 0)]
 
 
-def row_forms(spark: SparkSession, pairs: Mapping[str, Pair]) -> DataFrame:
-    """Every row of all tables as pair_id, cells and the counts `_a` and `_b`; each table is one narrow branch."""
+def row_forms(spark: SparkSession, pairs: Mapping[str, Pair], hashed: bool = False) -> DataFrame:
+    """Every row of all tables as pair_id, cells and the counts `_a` and `_b`; each table is one narrow branch.
+
+    With `hashed` also the two hashes of pair and cells.
+    """
     forms = None
     for pair_id, pair in pairs.items():
         names, sides = _sides(pair)
@@ -115,10 +143,13 @@ def row_forms(spark: SparkSession, pairs: Mapping[str, Pair]) -> DataFrame:
             other = fields[0] if mine is fields[-1] else fields[-1]
             cells = [_cell(name, mine[name.lower()], other[name.lower()]) for name in names]
             counts = [(n * F.lit(times)).alias(name) for name, times in (("_a", in_a), ("_b", 1 - in_a))]
-            form = df.select(F.lit(pair_id).alias("pair_id"), F.array(*cells).cast("array<string>").alias("cells"), *counts)
+            texts = [f"_{n}" for n in range(len(cells))]
+            placed = df.select(*[cell.alias(text) for cell, text in zip(cells, texts, strict=True)], *counts)
+            hashes = _hashed([F.lit(pair_id), *map(F.col, texts)]) if hashed else []
+            form = placed.select(F.lit(pair_id).alias("pair_id"), F.array(*texts).cast("array<string>").alias("cells"), "_a", "_b", *hashes)
             forms = form if forms is None else forms.unionByName(form)
     if forms is None:
-        forms = spark.createDataFrame([], "pair_id STRING, cells ARRAY<STRING>, _a BIGINT, _b BIGINT")
+        forms = spark.createDataFrame([], "pair_id STRING, cells ARRAY<STRING>, _a BIGINT, _b BIGINT" + ", _h1 BIGINT, _h2 BIGINT" * hashed)
     return forms
 
 
@@ -140,9 +171,7 @@ def compare_pairs_rows(spark: SparkSession, pairs: Mapping[str, Pair], buckets:
     """
     named = {pair_id: pair for pair_id, pair in pairs.items() if _sides(pair)[0]}
     bare = {pair_id: pair for pair_id, pair in pairs.items() if pair_id not in named}
-    # a hash skips what is null inside an array, so it is made of the cells' JSON
-    forms = row_forms(spark, named).withColumn("_text", F.to_json("cells"))
-    rows = keep_unequal(forms, ["pair_id", "_text"], buckets).drop("_text")
+    rows = _unequal(row_forms(spark, named, hashed=True), buckets).select("pair_id", "cells", "_a", "_b")
     if bare:
         rows = rows.unionByName(row_forms(spark, bare))
     counted = _counted(rows, ["pair_id", "cells"])

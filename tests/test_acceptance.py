@@ -211,6 +211,17 @@ def test_only_unequal_buckets_are_kept(spark):
         tablepairs.compare_rows_by_bucket(c, d, buckets=3)
 
 
+def test_equal_rows_of_unequal_buckets_are_left_out(spark, rows):
+    """However many rows share a bucket with a difference."""
+    a = spark.range(20_000).select("id", F.when(F.col("id") % 3 > 0, F.concat(F.lit("t"), "id")).alias("t"))
+    b = a.where("id <> 5").withColumn("t", F.when(F.col("id") == 77, "u").otherwise(F.col("t"))).unionByName(a.where("id = 9"))
+    assert 4 <= tablepairs.keep_unequal(tablediff.tagged_rows(a, b, ["id", "t"]), ["id", "t"], buckets=1).count() < 100
+    found = rows(tablediff.compare_rows(a, b))
+    assert rows(tablepairs.compare_rows_by_bucket(a, b, buckets=1)) == found and len(found) == 4
+    pairs = tablepairs.compare_pairs_rows(spark, {"t": (a, b), "same": (a, a)}, buckets=1)
+    assert rows(pairs.selectExpr("cast(cells[0] AS BIGINT)", "cells[1]", "count_a", "count_b")) == found
+
+
 def test_packages_of_many_requests(spark, rows):
     tables = {"old": spark.range(3), "new": spark.range(4), "same": spark.range(3)}
     asked = [("r1", "p1", "old", "new"), ("r2", "p2", "old", "same"), ("r3", "p1", "old", "new"), ("r4", "", "", ""), ("r5", "p3", "old", "gone")]
