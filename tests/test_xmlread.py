@@ -75,3 +75,40 @@ def test_fields_and_counts_are_those_of_the_places(spark, seed):
     assert sorted(events[0]) == sorted(events[1])
     plain = xmlmeta.read_map_fields(docs).where("map.rows IS NOT NULL AND map.tokens IS NULL").count()
     assert plain >= 150
+
+
+TF = "<Transformation><TransformationSources>%s</TransformationSources></Transformation>"
+FILTERS = '<DataAccess><FilterExpressions><F language="SQL">%s</F><G/></FilterExpressions></DataAccess>'
+TF_SOURCES = [
+    '<TransformationSource connectorname="c">' + FILTERS % " 1 &lt; 2 " + "</TransformationSource>", "", FILTERS % "<![CDATA[<TransformationSource>]]>",
+    "text<TransformationSource>" + FILTERS % " " + "</TransformationSource>text", "<TransformationSource/><!-- <TransformationSource/> -->",
+    '<TransformationSource connectorname="c" connectorname="d">' + FILTERS % "twice" + "</TransformationSource>",
+    "<x:TransformationSource>" + FILTERS % "&#32;" + "</x:TransformationSource>", "<TransformationSource>" + FILTERS % "open",
+]
+
+
+def test_documents_parsed_once_give_the_same(spark, rows):
+    """Rows made of `extract_tf` and `extract_map` against those made of the documents, also of odd ones."""
+    sources = [TF % source for source in TF_SOURCES]
+    sources += [None, "", " ", "no tag", sources[0] + " behind", '<!DOCTYPE Transformation [<!ENTITY own "v">]>' + TF % (FILTERS % "&own;")]
+    fields = '<MapSources><MapSource><MapSchema><RecordLayout><Field name="f"><Datatype dataalias="d"/></Field></RecordLayout></MapSchema></MapSource></MapSources>'
+    mappings = ["<Map>" + fields + "<MapEvents>" + EVENT % text + "</MapEvents></Map>" for text in TEXTS] + [odd % (EVENT % "1") for odd in ODD] + [None, "", "no tag"]
+    tf_docs, map_docs = (
+        spark.createDataFrame([(f"{n}.{kind}", d) for n, d in enumerate(documents)], "path STRING, content STRING")
+        for kind, documents in (("tf", sources), ("map", mappings))
+    )
+    maps = spark.range(20).selectExpr(
+        "'A' AS audit_name", "string(id) AS map_id", "'f' AS map_folder", "'m' AS map_name", "id || '.tf' AS tf_path", "id || '.map' AS map_path", "id AS doc_ord"
+    )
+    read = xmlmeta.extract_tf(tf_docs), xmlmeta.extract_map(map_docs)
+
+    def results(tf, mapping):
+        return {
+            "headers": rows(xmlmeta.map_headers(maps, tf)), "events": rows(xmlmeta.map_events(maps, tf, mapping)),
+            "fields": rows(xmlmeta.map_fields(maps, mapping)), "errors": rows(xmlmeta.document_errors(maps, tf, mapping)),
+            "unread": rows(xmlmeta.unread_elements(tf, mapping).selectExpr("*")),
+        }
+
+    expected = results(tf_docs, map_docs)
+    assert results(*read) == expected
+    assert all(expected.values()) and any(row[4] == "SourceFilter" for row in expected["events"])
