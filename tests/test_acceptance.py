@@ -230,3 +230,11 @@ def test_packages_of_many_requests(spark, rows):
     assert rows(found["compare_rows"].select("request_id", "cells", "count_b").where("count_b = 1")) == [("r1", ["3"], 1), ("r3", ["3"], 1)]
     flags = found["comparison_summary"].select("request_id", "has_template_difference", "has_data_difference")
     assert rows(flags) == [("r1", 0, 1), ("r2", 0, 0), ("r3", 0, 1), ("r5", 1, 1)]
+
+
+@pytest.mark.parametrize("query", ["find_package_for", "package_overview_for", "clients_for"])
+def test_requests_are_not_broadcast(spark, tables, query):
+    requests = spark.createDataFrame([("1", "client mx", "5", "b_x.tf.xml"), ("2", "client _x", "5", "x.tf.xml")], "request_id STRING, audit_name STRING, phase STRING, map_name STRING")
+    found = getattr(acceptance, query)(requests, tables["clients" if query == "clients_for" else "packages"])
+    assert found.collect()  # the plan of an empty join has no exchange at all
+    assert "BroadcastExchange" not in found._jdf.queryExecution().executedPlan().toString()
