@@ -25,7 +25,9 @@ BUCKETS = 1 << 16
 UNKNOWN = "und"
 
 _CHUNK = 256
-_REMEMBERED = 250_000
+_REMEMBERED = 100_000
+# text that is labelled at once: its messages, vectors of all words, take some fifty times its size for few languages
+_SLICE_BYTES = 1 << 19
 
 
 def letters(word: str) -> str:
@@ -294,7 +296,7 @@ def label_documents(documents: DataFrame, field: Field | None, extra: list[str]
 
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(field) if field else None
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", _SLICE_BYTES):
             names, scores = labeller.label(texts(batch, "text")) if labeller else ([UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows)
             arrays = [batch.column(batch.schema.get_field_index(name)) for name in kept]
             yield pa.RecordBatch.from_arrays(
@@ -321,7 +323,7 @@ def with_language(
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(field) if field else None
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", _SLICE_BYTES):
             if labeller:
                 names, _ = labeller.label(texts(batch, "text"))
                 yield batch.filter(pa.array([name != UNKNOWN for name in names], pa.bool_()))

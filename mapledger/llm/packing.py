@@ -22,8 +22,10 @@ from mapledger.session import stage
 CAPACITY = 4096
 # pieces of one group of packing; a task holds one group, of numbers only
 GROUP_PIECES = 8192
-# words whose ids a task remembers; beyond, they are forgotten and encoded anew
-REMEMBERED = 900_000
+# words whose ids a task remembers, about 250 bytes each; beyond, they are forgotten and encoded anew
+REMEMBERED = 400_000
+# of these, a Python worker keeps no more for its next task, which may be of another stage
+KEPT = 100_000
 
 # --- fixed value: how the vocabulary cuts a word, for Latin characters in lower case
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^a-z0-9ªµºß-öø-ÿ²³¹¼-¾]+").findall
@@ -77,13 +79,17 @@ def _words(path: str) -> _Words:
     return _Words(path)
 
 
-def encode(path: str, batch: list[bytes]) -> list[bytes]:
-    """The ids of each text, as bytes of little-endian unsigned 32-bit numbers."""
+def _forget(path: str, most: int) -> None:
     known = _words(path)
-    if len(known) + len(known.parts) > REMEMBERED:
+    if len(known) + len(known.parts) > most:
         known.clear()
         known.parts.clear()
-    find = known.__getitem__
+
+
+def encode(path: str, batch: list[bytes]) -> list[bytes]:
+    """The ids of each text, as bytes of little-endian unsigned 32-bit numbers."""
+    _forget(path, REMEMBERED)
+    find = _words(path).__getitem__
     return [b"".join(map(find, text.split())) for text in batch]  # bytes split at ASCII white space
 
 
@@ -107,6 +113,7 @@ def token_pieces(documents: DataFrame, path: str, end_id: int, capacity: int = C
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
+        _forget(path, KEPT)
 
     return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(cut, PIECES)
 
