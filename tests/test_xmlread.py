@@ -2,9 +2,10 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
-from mapledger.operators import xmlmeta
+from mapledger.operators import xmlmeta, xmlread
 from mapledger.operators.nesting import MAP_ROLES
 
 EVENT = '<Event name="e &lt;"><Action name="a"><Parameter name=" p ">%s<x/>late</Parameter><Parameter/></Action></Event>'
@@ -112,3 +113,60 @@ def test_documents_parsed_once_give_the_same(spark, rows):
     expected = results(tf_docs, map_docs)
     assert results(*read) == expected
     assert all(expected.values()) and any(row[4] == "SourceFilter" for row in expected["events"])
+
+
+HEADER = (
+    '<Transformation><TransformationOptions><Option name="truncationhandling" value="t"/></TransformationOptions><TransformationSources>'
+    '<TransformationSource connectorname="old"/><TransformationSource connectorname="c"><TransformationSourceOptions>'
+    '<Option name="codepage" value="a"/><Option name="codepage"/><Option value="x"/><Option name="recsep" value=" &lt;&#10; "/></TransformationSourceOptions>'
+    '</TransformationSource></TransformationSources><TransformationTargets><TransformationTarget outputmode="m"/></TransformationTargets></Transformation>'
+)
+CHANGES = [
+    ("", ""), ('"m"', "'é'"), ("<TransformationSource ", "<transformationsource "), ("connectorname=", "ConnectorName="), ("<Option ", "<option "),
+    ("/></TransformationOptions>", "/> text </TransformationOptions>"), ("<TransformationSources>", "<TransformationSources>\n <!-- c --> \n"),
+    ("<TransformationSources>", "\n<TransformationSources>\n"), ("<TransformationTargets>", "<TransformationTargets><![CDATA[ ]]>"), ("</TransformationTargets>", "<?p x?></TransformationTargets>"),
+    ('name="codepage"', 'Name="codepage"'), ('value="a"', 'value="a" other="1"'), ("<Transformation>", '<?xml version="1.0" encoding="UTF-8"?>\n<Transformation>'),
+    ("<Transformation>", '<?xml version="1.1"?><Transformation>'), ("<Transformation>", '<?xml version="1.0" encoding="ISO-8859-1"?><Transformation>'),
+    ("<Transformation>", "﻿<Transformation>"), ("<Transformation>", '<Transformation a="%s">' % ("v" * 3000)), ("<Transformation>", "<Transformation><_malformed/>"),
+    ("</Transformation>", "</Transformation><more/>"), ("connectorname=", "_connectorname="), ("<Transformation>", "<Transformation><%s/>" % ("n" * 1200)),
+    ("<Transformation>", "<Transformation>" + '<TransformationSources/>text<TransformationTargets>t</TransformationTargets>'), ("</TransformationSource>", ""),
+    ("<Transformation>", "<Transformation>" + "<d>" * 200 + "</d>" * 200), ("<Transformation>", "<Transformation><é/>"), ("<Transformation>", "<Transformation>\U0001f600"),
+]
+
+
+def test_headers_are_those_of_the_schema(spark):
+    """Headers, problems and counts from one pass against Spark's parser alone, on odd documents; plain ones never reach that parser."""
+    documents = [HEADER.replace(old, new) for old, new in CHANGES]
+    documents.append(HEADER.replace("&#10;", "").replace("><", ">\r\n\t <"))
+    docs = spark.createDataFrame([(str(n), d) for n, d in enumerate(documents)], "path STRING, content STRING")
+    parsed = xmlmeta.parse_tf(docs)
+    expected = parsed.select("path", *xmlmeta._findings("tf", xmlmeta._tf_sections()))
+    extracted = xmlmeta.extract_tf(docs)
+    assert sorted(extracted.select("path", "problem", "counts").collect()) == sorted(expected.collect())
+    headers = {row.path: row for row in xmlmeta.header_fields(extracted).collect()}
+    assert headers == {row.path: row for row in xmlmeta.header_fields(parsed).collect()}
+    assert headers["0"].connector_type == "c" and headers["0"].code_page is None and headers["0"].record_separator == " <\n "
+    known = xmlread.tf_text_places(pa.array(documents)).to_pylist()
+    assert [n for n, one in enumerate(known) if one and one["headers"]] == [0, 11, 12, 19, len(CHANGES)]
+
+
+def test_documents_joined_to_maps_once(spark, rows):
+    """A document of two maps, one of none, and maps without a name of their audit."""
+    tf = [("A", "1", HEADER), ("A", "2", "<Transformation><w>" + HEADER + "</w></Transformation>"), ("B", "1", "<broken"), (None, "3", "<broken"), ("A", "4", "<broken"), ("A", "2", "<broken")]
+    mapping = [("A", "1m", "<Map><MapEvents>" + EVENT % "1" + "</MapEvents></Map>"), ("A", "2m", "<Map><Parameter/></Map>"), (None, "3m", "<Map/>")]
+    tf_docs, map_docs = (spark.createDataFrame(some, "audit_name STRING, path STRING, content STRING") for some in (tf, mapping))
+    maps = spark.createDataFrame(
+        [("A", str(n), "f", "m", path, f"{path}m", n) for n, path in enumerate("1122")] + [("B", "9", "f", "m", "1", "1m", 9), (None, "8", "f", "m", "3", "3m", 8)],
+        "audit_name STRING, map_id STRING, map_folder STRING, map_name STRING, tf_path STRING, map_path STRING, doc_ord BIGINT",
+    )
+    read = xmlmeta.extract_tf(tf_docs), xmlmeta.extract_map(map_docs)
+    joined = [xmlmeta.with_maps(maps, found, path) for found, path in zip(read, ("tf_path", "map_path"), strict=True)]
+
+    def results(tf, mapping):
+        found = [xmlmeta.map_headers(maps, tf), xmlmeta.map_events(maps, tf, mapping), xmlmeta.map_fields(maps, mapping)]
+        return [rows(df) for df in [*found, xmlmeta.document_errors(maps, tf, mapping), xmlmeta.unread_elements(tf, mapping)]]
+
+    assert results(*joined) == results(*read)
+    assert len(results(*joined)[3]) == 6
+    plan = xmlmeta.map_headers(maps, joined[0])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
